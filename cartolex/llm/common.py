@@ -129,14 +129,19 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
+def _cumulated(q: int, size: int) -> np.ndarray:
+    x = np.full(size, q, np.uint64)
+    x[0] = 1
+    return np.cumprod(x, dtype=np.uint64)
+
+
 def _power(p: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _powers.get(p)
     if have is None or len(have[0]) < n:
-        size = max(n, BLOCK_BYTES + 65536)
+        size = max(n + n // 4, BLOCK_BYTES + 65536)
         with np.errstate(over="ignore"):
-            up, down = (np.cumprod(np.concatenate([[1], np.full(size - 1, q, np.uint64)]).astype(np.uint64), dtype=np.uint64) for q in (p, pow(p, -1, 1 << 64)))
-        have = (up, down)
-        if n <= BLOCK_BYTES + 65536:
+            have = tuple(_cumulated(q, size) for q in (p, pow(p, -1, 1 << 64)))
+        if size <= 4 * BLOCK_BYTES:
             _powers[p] = have
     return have
 

@@ -21,44 +21,112 @@ from . import common as c
 CAPACITY = 2048
 #: Pieces that are packed together; larger groups waste less and take more memory (some 60 bytes a piece).
 GROUP = 4096
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 400_000
+#: Words whose ids a Python worker remembers, at most (some 40 bytes each); beyond it starts anew.
+REMEMBERED = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Fixed value: how the vocabulary file itself splits normalized text.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Characters below this are split here; a text with any other goes to the tokenizer as it is.
+PLAIN = 0x250
+
+
+def _classes() -> np.ndarray:
+    """0 white space, 1 letter, 2 number (each by itself), 3 other, of the characters below PLAIN."""
+    import regex
+
+    out = np.full(PLAIN, 3, np.uint8)
+    for k in range(PLAIN):
+        for value, pattern in ((0, r"\s"), (1, r"\p{L}"), (2, r"\p{N}")):
+            if regex.match(pattern, chr(k)):
+                out[k] = value
+    return out
 
 
 class Words:
     """The ids of whole texts by tokenizers, with the ids of a word computed once.
 
-    The file's normalizer (NFC, white space, lower case) and splitter work on characters up to U+024F as Python's
-    do; a text with any other character goes to the tokenizer as it is.
+    The vocabulary file normalizes (NFC, white space, lower case) and splits into runs of letters, single numbers and
+    runs of other characters, which are encoded one by one. Here a block of texts is split so with NumPy, and only its
+    distinct words go to the tokenizer. Texts with an apostrophe (the file splits English contractions by it) or with
+    characters from PLAIN on go to the tokenizer whole.
     """
 
     def __init__(self, path: str) -> None:
-        import regex
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.tokenizer.no_truncation()
-        self.find = regex.compile(SPLIT).findall
-        self.other = regex.compile("[^\u0000-įı-ɏ]").search
-        self.known: dict[str, bytes] = {}
+        import re
+
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.single = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for t in (self.tokenizer, self.single):
+            t.encode_special_tokens = True
+            t.no_truncation()
+        # For words that are already normalized and split: white space is all that parts them.
+        self.single.normalizer = normalizers.Sequence([])
+        self.single.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.other = re.compile("['\u0130" + chr(PLAIN) + "-\U0010ffff]").search
+        self.classes = _classes()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.begin, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        """Remember the ids of new words, whose hashes are keys (sorted)."""
+        parts = self.single.encode_batch_fast([" ".join(words[i : i + 500]) for i in range(0, len(words), 500)], add_special_tokens=False)
+        ids = np.concatenate([np.asarray(e.ids, np.uint32) for e in parts])
+        stop = np.flatnonzero(self.ends[ids]) + 1
+        if len(stop) != len(words):  # a vocabulary that does not mark the end of each word
+            each = self._ids(words)
+            ids, stop = np.frombuffer(b"".join(each), "<u4"), np.cumsum([len(e) // 4 for e in each])
+        begin = np.concatenate([[0], stop[:-1]])
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.begin = np.insert(self.begin, at, begin + len(self.flat))
+        self.size = np.insert(self.size, at, stop - begin)
+        self.flat = np.concatenate([self.flat, ids])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        plain = [None if self.other(t) else self.find(unicodedata.normalize("NFC", t).lower()) for t in texts]
-        new = list({w for ws in plain if ws for w in ws} - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list({w for ws in plain if ws for w in ws})
-        self.known.update(zip(new, self._ids(new), strict=True))
-        whole = iter(self._ids([t for t, ws in zip(texts, plain, strict=True) if ws is None]))
-        return [next(whole) if ws is None else b"".join(map(self.known.__getitem__, ws)) for ws in plain]
+        hard = [self.other(t) is not None for t in texts]
+        plain = iter(self._plain([unicodedata.normalize("NFC", t).lower() for t, x in zip(texts, hard, strict=True) if not x]))
+        whole = iter(self._ids([t for t, x in zip(texts, hard, strict=True) if x]))
+        return [next(whole if x else plain) for x in hard]
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        joined = "\n".join(texts) + "\n"
+        x = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        if x.max() >= PLAIN:  # a lower-case form of several characters
+            return self._ids(texts)
+        kind = self.classes[x]
+        edge = np.concatenate([[True], (kind[1:] != kind[:-1]) | (kind[1:] == 2)])
+        at = np.flatnonzero(edge)
+        stop = np.append(at[1:], len(x))
+        solid = kind[at] > 0
+        at, stop = at[solid], stop[solid]
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        h, first, which = np.unique(c.span_hash(x, at, stop), return_index=True, return_inverse=True)
+        for _ in range(2):
+            at0 = np.searchsorted(self.keys, h)
+            known = self.keys[np.minimum(at0, len(self.keys) - 1)] == h if len(self.keys) else np.zeros(len(h), bool)
+            if known.all():
+                break
+            if len(self.keys) + (~known).sum() > REMEMBERED:
+                self._forget()
+                known[:] = False
+            new = np.flatnonzero(~known)
+            a, b = at[first[new]].tolist(), stop[first[new]].tolist()
+            self._learn(h[new], [joined[i:j] for i, j in zip(a, b, strict=True)])
+        flat, size, begin = self.flat, self.size[at0], self.begin[at0]
+        size, begin = size[which], begin[which]
+        total = np.cumsum(size)
+        ids = flat[np.arange(total[-1]) + np.repeat(begin - (total - size), size)] if len(total) else flat
+        cut = np.concatenate([[0], total])[np.concatenate([[0], np.searchsorted(at, ends)])].tolist()
+        return [ids[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)]
 
 
 _loaded: dict[str, Words] = {}
@@ -79,7 +147,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = words(tokenizer).encode
-        for b in c.blocks(batches):
+        for b in c.blocks(batches, limit=2 << 20):
             rows = []
             for doc, ids in zip(b.column(0).to_pylist(), encode([t or "" for t in b.column(1).to_pylist()]), strict=True):
                 ids += end
