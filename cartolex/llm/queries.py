@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, packing
+from . import language, mixing, multiset, packing, quality, simhash
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op3_document_fingerprints": multiset.op3_document_fingerprints,
     "op4_mixing_sources": mixing.op4_mixing_sources,
+    "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
+    "op6_language_id": language.op6_language_id,
+    "op7_quality_classifier": quality.op7_quality_classifier,
 }
 SQL = {"op4_mixing_sources": mixing.OP4_SQL}
