@@ -159,7 +159,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
         w, bias, t = train([np.frombuffer(v, "<u2").astype(np.int64) for v in g["at"]], [np.frombuffer(v, "<f4").astype(float) for v in g["tf"]], y, len(langs), idf)
         return pd.DataFrame({"lang": langs, "w": [w[:, k].astype("<f4").tobytes() for k in range(len(langs))], "bias": bias, "t": t})
 
-    rows = chosen.select("doc_id", "text", "lang").mapInArrow(sparse, "doc_id long, lang string, at binary, tf binary").groupBy(F.lit(1)).applyInPandas(learn, "lang string, w binary, bias double, t double").collect()
+    rows = chosen.select("doc_id", "text", "lang").mapInArrow(sparse, "doc_id long, lang string, at binary, tf binary").withColumn("one", F.lit(1)).groupBy("one").applyInPandas(learn, "lang string, w binary, bias double, t double").collect()
     if not rows:
         return None
     rows.sort(key=lambda r: r["lang"])
