@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import language, mixing, multiset, packing, quality, simhash
+from . import egojoin, language, mixing, multiset, packing, quality, simhash
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_embedding_near_dedup": egojoin.op2_embedding_near_dedup,
     "op3_document_fingerprints": multiset.op3_document_fingerprints,
     "op4_mixing_sources": mixing.op4_mixing_sources,
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
