@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import egojoin, language, mixing, multiset, packing, quality, simhash
+from . import egojoin, language, mixing, multiset, packing, quality, runindex, simhash
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -12,5 +12,6 @@ QUERIES = {
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
     "op6_language_id": language.op6_language_id,
     "op7_quality_classifier": quality.op7_quality_classifier,
+    "op8_suffix_array_dedup": runindex.op8_suffix_array_dedup,
 }
 SQL = {"op4_mixing_sources": mixing.OP4_SQL}
