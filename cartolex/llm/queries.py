@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import egojoin, language, mixing, multiset, packing, quality, runindex, simhash
+from . import egojoin, language, mixing, multiset, packing, quality, runindex, secrets, simhash
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -13,5 +13,6 @@ QUERIES = {
     "op6_language_id": language.op6_language_id,
     "op7_quality_classifier": quality.op7_quality_classifier,
     "op8_suffix_array_dedup": runindex.op8_suffix_array_dedup,
+    "op9_secret_scans": secrets.op9_secret_scans,
 }
 SQL = {"op4_mixing_sources": mixing.OP4_SQL}
