@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import egojoin, language, mixing, multiset, packing, quality, runindex, secrets, simhash
+from . import egojoin, language, lmscore, mixing, multiset, packing, quality, runindex, secrets, simhash
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -14,5 +14,6 @@ QUERIES = {
     "op7_quality_classifier": quality.op7_quality_classifier,
     "op8_suffix_array_dedup": runindex.op8_suffix_array_dedup,
     "op9_secret_scans": secrets.op9_secret_scans,
+    "op10_lm_scoring": lmscore.op10_lm_scoring,
 }
 SQL = {"op4_mixing_sources": mixing.OP4_SQL}
