@@ -6,11 +6,25 @@ import os
 
 import numpy as np
 
-_BYTE_ZEROS = np.array([8 - k.bit_count() for k in range(256)], np.int64)
-_BYTE_SELECT0 = np.zeros((256, 8), np.int64)
+#: For each byte the places of its ones, in order, and how many there are.
+_ONES = np.zeros((256, 8), np.int64)
+_COUNT = np.array([k.bit_count() for k in range(256)], np.int64)
 for _k in range(256):
-    _at = [b for b in range(8) if not _k >> b & 1]
-    _BYTE_SELECT0[_k, : len(_at)] = _at
+    _at = [b for b in range(8) if _k >> b & 1]
+    _ONES[_k, : len(_at)] = _at
+
+
+def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, flip: bool) -> np.ndarray:
+    """Where the k-th one (zero if flip) of a bit vector is; before: how many lie before each 64-bit word."""
+    w = np.searchsorted(before, k, "right") - 1
+    left = k - before[w]
+    bits = np.ascontiguousarray(words[w])
+    octets = (~bits if flip else bits).view(np.uint8).reshape(-1, 8)
+    upto = np.cumsum(_COUNT[octets], 1)
+    byte = (upto <= left[:, None]).sum(1)
+    rows = np.arange(len(k))
+    left = left - np.where(byte > 0, upto[rows, np.maximum(byte - 1, 0)], 0)
+    return w * 64 + byte * 8 + _ONES[octets[rows, byte], left]
 
 
 class EliasFano:
@@ -48,15 +62,7 @@ class EliasFano:
         return cls(n, bits, words, high, zeros)
 
     def _select0(self, k: np.ndarray) -> np.ndarray:
-        """Where the k-th zero (from 0) of the high bits is."""
-        w = np.searchsorted(self.zeros, k, "right") - 1
-        left = k - self.zeros[w]
-        octets = np.ascontiguousarray(self.high[w]).view(np.uint8).reshape(-1, 8)
-        before = np.cumsum(_BYTE_ZEROS[octets], 1)
-        byte = (before <= left[:, None]).sum(1)
-        rows = np.arange(len(k))
-        left = left - np.where(byte > 0, before[rows, np.maximum(byte - 1, 0)], 0)
-        return w * 64 + byte * 8 + _BYTE_SELECT0[octets[rows, byte], left]
+        return _select(self.high, self.zeros, k, True)
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -73,14 +79,9 @@ class EliasFano:
 
     def get(self, i: np.ndarray) -> np.ndarray:
         """The members at indexes i."""
-        a, b = np.zeros(len(i), np.int64), np.full(len(i), int(len(self.high) * 64 - self.n), np.int64)
-        # The high part is the least h whose bucket ends after i.
-        while (a < b).any():
-            mid = (a + b) // 2
-            after = self.bucket(np.minimum(mid, self._last_top()))[1] > i
-            b = np.where((a < b) & after, mid, b)
-            a = np.where((a < b) & ~after, mid + 1, a)
-        return (a.astype(np.uint64) << np.uint64(self.bits)) | self._low(i)
+        ones = np.arange(len(self.zeros)) * 64 - self.zeros
+        top = _select(self.high, ones, i, False) - i
+        return (top.astype(np.uint64) << np.uint64(self.bits)) | self._low(i)
 
     def _last_top(self) -> int:
         return int(self.zeros[-1] + (64 - int(self.high[-1]).bit_count())) - 1
@@ -140,7 +141,8 @@ class Trie:
         """The place of each pair in the level, or -1."""
         if not self.successors.n or not len(context):
             return np.full(len(context), -1, np.int64)
-        first, after = self.pointers.get(context).astype(np.int64), self.pointers.get(context + 1).astype(np.int64)
+        each, which = np.unique(context, return_inverse=True)
+        first, after = self.pointers.get(each).astype(np.int64)[which], self.pointers.get(each + 1).astype(np.int64)[which]
         own = np.flatnonzero(after > first)
         out = np.full(len(context), -1, np.int64)
         ctx = context[own]
