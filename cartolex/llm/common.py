@@ -6,6 +6,7 @@ where or when a task runs.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zlib
@@ -52,7 +53,20 @@ def drop(df: DataFrame) -> None:
         where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
+#: Rows of an Arrow batch; a batch is held by the JVM and by the Python worker at once.
+BATCH_ROWS = 2000
+
+
+def bounded(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS, since documents are long rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the input; reading one also calls bounded()."""
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -187,9 +201,32 @@ def tree_sum(parts: DataFrame, dtype: str, fan: int = 32) -> np.ndarray | None:
     return total
 
 
+def tidy() -> None:
+    """Give memory back to the system: a Python worker lives on after its task, and others need it."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library; it keeps what it has
+
+
+def task(run: Callable) -> Callable:
+    """run, a function of Arrow batches for mapInArrow, followed by tidy()."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    return tidied
+
+
 def per_partition(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], np.ndarray | None]) -> DataFrame:
     """(k, v): one vector of each partition of df, for tree_sum()."""
 
+    @task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 

@@ -45,6 +45,7 @@ class UnionFind:
         return True
 
 
+@c.task
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sets, a, b = UnionFind(), [], []
     for batch in batches:
@@ -55,6 +56,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+@c.task
 def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sets = UnionFind()
     for batch in batches:

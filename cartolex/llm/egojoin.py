@@ -37,6 +37,7 @@ def _floats(kind: T.DataType) -> str:
 def _prepare(vectors: DataFrame, dtype: str) -> DataFrame:
     """vec_id, label, v: the components' bytes, null where the vector cannot link."""
 
+    @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
@@ -149,6 +150,7 @@ def join(a: Sequence, b: Sequence, threshold: float, epsilon: float, link) -> No
 def _units(dtype: str, basis, threshold: float, epsilon: float):
     """Rows sorted by (unit, side): the counts (kind 0: a, links) and forest links (kind 1: a, b) of each unit."""
 
+    @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
 
@@ -199,6 +201,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     classes = c.cut(classes, "classes")
     basis = axes(classes, dtype, sample)
 
+    @c.task
     def strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = [np.frombuffer(v, dtype).astype(float) for v in b.column(1).to_pylist()]

@@ -142,6 +142,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     h = F.xxhash64(F.lit("sample"), F.col("doc_id"))
     chosen = docs.where(F.pmod(h, F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))) if share < 1 else docs
 
+    @c.task
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in c.blocks(batches, limit=1 << 19):
             rows, bucket, _ = grams(c.fill(b.column(b.schema.get_field_index("text"))).to_pylist())
@@ -170,6 +171,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score for every row. A text without a letter (null, empty) is und with score 0."""
 
+    @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in c.blocks(batches, limit=1 << 19):
             if model is None:

@@ -166,7 +166,10 @@ def _score(shards: int, by: int, prior: float):
         known = np.bincount(g.row, (count > 0)[g.at], rows).astype(np.int64)
         score = np.bincount(g.row, pair[g.pair_at], rows)
         columns = [docs["doc_id"], pa.array(~g.train), pa.array(g.size), pa.array(known), pa.array(np.full(rows, n)), pa.array(base), pa.array(score)]
-        return pa.table([x.cast(t) for x, t in zip(columns, types, strict=True)], names)
+        out = pa.table([x.cast(t) for x, t in zip(columns, types, strict=True)], names)
+        del g, pair, counts
+        c.tidy()
+        return out
 
     return run
 

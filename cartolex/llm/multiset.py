@@ -128,6 +128,7 @@ def _rows(ids: list, texts: list[str]) -> pa.RecordBatch:
     )
 
 
+@c.task
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by slice, then document; a slice's last row is the head of the next slice and only ends it."""
     ids, texts, now, size = [], [], None, 0

@@ -22,7 +22,7 @@ CAPACITY = 2048
 #: Pieces that are packed together; larger groups waste less and take more memory (some 60 bytes a piece).
 GROUP = 4096
 #: Words whose ids a Python worker remembers, at most (some 40 bytes each); beyond it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Characters below this are split here; a text with any other goes to the tokenizer as it is.
 PLAIN = 0x250
@@ -145,9 +145,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     """
     end = np.asarray([end_id], "<u4").tobytes()
 
+    @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = words(tokenizer).encode
-        for b in c.blocks(batches, limit=2 << 20):
+        for b in c.blocks(batches):
             rows = []
             for doc, ids in zip(b.column(0).to_pylist(), encode([t or "" for t in b.column(1).to_pylist()]), strict=True):
                 ids += end

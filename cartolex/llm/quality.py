@@ -99,6 +99,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
 def document_statistics(docs: DataFrame) -> DataFrame:
     """doc_id, x (array of STATISTICS floats) for every row; a null text is empty."""
 
+    @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in c.blocks(batches):
             x = statistics(c.fill(b.column(1))).astype(np.float32)
@@ -207,6 +208,7 @@ def fit(labelled: DataFrame) -> Model | None:
 def score(stats: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, score, predicted of document_statistics(). Without a model every score is 0.5."""
 
+    @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = model.score(_matrix(b.column(1))) if model is not None and b.num_rows else np.full(b.num_rows, 0.5)

@@ -170,6 +170,7 @@ def _pieces(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
             yield doc[k : k + 1], part, np.array([0, len(part)]), np.array([at])
 
 
+@c.task
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors of (doc, text); those of equal contexts in one block are covered at once, but for the earliest."""
     for b in c.blocks(batches, limit=SWEEP):
@@ -190,6 +191,7 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _batch(["k", "doc", "at", "span", "context"], c.mix(dd.astype(np.uint64) + a.astype(np.uint64)).view(np.int64), dd, a, np.full(len(dd), -1, np.int32), e)
 
 
+@c.task
 def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of _sweep sorted by (k, context, doc, at). Out: covered spans (hash null), and the first of each context of
     an anchor hash with several: (doc, at, span, hash)."""
@@ -246,6 +248,7 @@ _CONTEXT = "k long, kind int, doc long, a long, b long, body binary"
 def _contexts(shards: int):
     """Rows (doc, text, list of (at, span, hash, large)): the contexts' bytes for the shards, or hashes of windows."""
 
+    @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in c.blocks(batches, limit=SWEEP):
             lists = b.column(2)
@@ -282,6 +285,7 @@ def _contexts(shards: int):
     return run
 
 
+@c.task
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of _contexts sorted by (kind, k, doc, a): covered spans."""
     now, docs, starts, texts = None, [], [], []
@@ -319,6 +323,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
+@c.task
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, text, list of (a, b) or null): what the removal leaves."""
     for b in c.blocks(batches, limit=SWEEP):

@@ -179,6 +179,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field:
     share = min(1.0, sample / n)
     chosen = docs.where(F.pmod(F.xxhash64(F.lit("secrets"), "doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))) if share < 1 else docs
 
+    @c.task
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
@@ -240,6 +241,7 @@ def scan(docs: DataFrame, field: Field | None = None, sample: int = SAMPLE) -> D
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     field = field or fit(docs, sample)
 
+    @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in c.blocks(batches):
             rows = []
@@ -259,6 +261,7 @@ def redact_documents(docs: DataFrame, field: Field | None = None, sample: int =
     names = docs.columns
     text, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
+    @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in c.blocks(batches):
             old = b.column(text).to_pylist()

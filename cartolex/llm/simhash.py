@@ -53,6 +53,7 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp for every row; a null text is an empty one."""
 
+    @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fingerprint(t or "", shingle) for t in b.column(1).to_pylist()], pa.int64())], ["doc_id", "fp"])
@@ -130,6 +131,7 @@ def _search(radius: int):
                 if sets.join(x, y):
                     out.append((x, y))
 
+    @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own, other, out = None, [], [], []
 
