@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import graph_queries, relational_queries
+from .registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "graph_queries", "relational_queries"]
