@@ -8,6 +8,7 @@ often a task runs. The output is dealt and sorted by another such hash, which is
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common as c
@@ -33,36 +34,47 @@ def cumulative(mean: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), last), zero, step, lambda acc: acc["cdf"])
 
 
-def rates(docs: DataFrame, target: dict[str, float], total: float | None = None) -> DataFrame:
-    """source, draws, cdf: for each source its draws a row and their distribution.
+def rates(docs: DataFrame, target: dict[str, float], total: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """(source, rate) of the sources that have a target, and one row with the rate of all others.
 
-    A source's rate is share * total / rows, where total is the rows of docs unless given. A source (or null) without a
-    target keeps its natural share: rate 1. Rows count by source over the whole table; the result has a row per source.
+    A source's rate is share * total / rows, where total is the rows of docs unless given. Sources (or null) without a
+    target keep their natural share together: total / all rows. Rows are counted over the whole table. The first result
+    has a row for each entry of target at most, whatever the table.
     """
     spark = docs.sparkSession
+    wanted = spark.createDataFrame([(k, float(v)) for k, v in target.items()], "__wanted string, weight double")
     counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
-    if not target:
-        wanted = spark.createDataFrame([], "wanted_source string, weight double")
-    else:
-        wanted = spark.createDataFrame([(k, float(v)) for k, v in target.items()], "wanted_source string, weight double")
-    joined = counts.join(F.broadcast(wanted), counts["source"] == wanted["wanted_source"], "left").drop("wanted_source")
-    sums = joined.agg(F.coalesce(F.lit(total), F.sum("rows").cast("double")).alias("total"), F.sum("rows").alias("all"), F.sum("weight").alias("weights"), F.sum(F.when(F.col("weight").isNull(), F.col("rows")).otherwise(0)).alias("free"))
+    joined = counts.join(F.broadcast(wanted), counts["source"] == wanted["__wanted"], "left").drop("__wanted")  # as large as target
+    # Sources without a target become one row.
+    joined = joined.groupBy(F.when(F.col("weight").isNotNull(), F.col("source")).alias("source"), "weight").agg(F.sum("rows").alias("rows"))
+    every = W.partitionBy()  # len(target) + 1 rows at most
+    sums = joined.withColumns({
+        "all": F.sum("rows").over(every),
+        "weights": F.sum("weight").over(every),
+        "free": F.sum(F.when(F.col("weight").isNull(), F.col("rows")).otherwise(0)).over(every),
+    }).withColumn("total", F.coalesce(F.lit(total).cast("double"), F.col("all").cast("double")))
     share = F.col("weight") / F.col("weights") * (F.col("all") - F.col("free")) / F.col("all")
-    rate = F.when(F.col("weight").isNull(), F.col("total") / F.col("all")).otherwise(share * F.col("total") / F.col("rows"))
-    out = joined.crossJoin(F.broadcast(sums)).select("source", rate.alias("rate"))  # one row on the right: a scalar
-    out = out.withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / LARGEST_MEAN)).cast("int"))
-    return out.withColumn("cdf", cumulative(F.col("rate") / F.col("draws")))
+    out = sums.select("source", "weight", F.when(F.col("weight").isNull(), F.col("total") / F.col("all")).otherwise(share * F.col("total") / F.col("rows")).alias("rate"))
+    return out.where("weight IS NOT NULL").select("source", "rate"), out.agg(F.coalesce(F.max(F.when(F.col("weight").isNull(), F.col("rate"))), F.lit(1.0)).alias("rate"))
+
+
+def _drawn(rate: DataFrame) -> DataFrame:
+    out = rate.withColumn("__draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / LARGEST_MEAN)).cast("int"))
+    return out.withColumn("__cdf", cumulative(F.col("rate") / F.col("__draws"))).drop("rate")
 
 
 def mix_sources(docs: DataFrame, target: dict[str, float], seed: str = SEED, total: float | None = None, order: bool = True) -> DataFrame:
     """docs with every row repeated by its draw, plus copy_no (from 0) and shuffle_key, in the order of shuffle_key.
 
     Rows with one id (equal rows too) are drawn alike; a null id is the word null. Other columns are carried along, and
-    an input column named copy_no or shuffle_key gives way. Sources are as many as target has, and those without one.
+    an input column named copy_no or shuffle_key gives way. What is broadcast has a row for each entry of target at most.
     """
     docs = docs.drop("copy_no", "shuffle_key")
-    by = rates(docs, target, total).select(F.col("source").alias("__source"), "draws", "cdf").withColumnsRenamed({"draws": "__draws", "cdf": "__cdf"})
-    own = docs.join(by, docs["source"].eqNullSafe(by["__source"])).drop("__source")
+    named, others = rates(docs, target, total)
+    named = _drawn(named).withColumnsRenamed({"source": "__source"})
+    others = _drawn(others).withColumnsRenamed({"__draws": "__draws0", "__cdf": "__cdf0"})
+    own = docs.join(F.broadcast(named), docs["source"] == named["__source"], "left").crossJoin(F.broadcast(others))  # one row
+    own = own.withColumn("__draws", F.coalesce("__draws", "__draws0")).withColumn("__cdf", F.coalesce("__cdf", "__cdf0"))
     doc = F.coalesce(docs["doc_id"].cast("string"), F.lit("null"))
     one = lambda k: F.size(F.filter(F.col("__cdf"), lambda p: p < uniform(F.lit(seed), doc, k.cast("string"))))
     count = F.when(F.col("__draws") == 1, one(F.lit(0))).otherwise(F.aggregate(F.sequence(F.lit(0), F.col("__draws") - 1), F.lit(0), lambda acc, k: acc + one(k)))
