@@ -163,8 +163,7 @@ def louvain(nodes: DataFrame, edges: DataFrame, resolution: float = 1.0) -> Data
     """
     clean = edges.where("source <> target").withColumn("weight", C.sanitised(F.col("weight")))
     parts = fixpoint.connected_components(nodes, clean).withColumnRenamed("id", "source")
-    m = F.coalesce(clean.agg(F.sum("weight")).first()[0] and F.lit(1.0), F.lit(1.0))
-    rows = nodes.select(F.col("id").alias("source"), F.lit(None).cast("string").alias("target"), F.lit(0.0).alias("weight")).unionByName(clean.select("source", "target", (F.col("weight") * m).alias("weight"))).join(parts, "source")
+    rows = nodes.select(F.col("id").alias("source"), F.lit(None).cast("string").alias("target"), F.lit(0.0).alias("weight")).unionByName(clean.select("source", "target", "weight")).join(parts, "source")
 
     def kernel(g: pd.DataFrame) -> pd.DataFrame:
         n, e = g[g["target"].isna()], g[g["target"].notna()].sort_values(["source", "target"])

@@ -16,6 +16,8 @@ from . import fixpoint, relational
 
 #: Vectors in a block: two blocks and their products are what a task holds.
 BLOCK = 2000
+#: Length of the stand-in embeddings.
+DIM = 256
 
 
 def nearest(vectors: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
@@ -115,18 +117,18 @@ def candidates(nodes: DataFrame, edges: DataFrame, k: int, threshold: float, for
     return out.select("source_id", "target_id", "similarity", F.coalesce(forwards(F.col("edges")), F.array().cast("array<struct<source:string,target:string,type:string,weight:double>>")).alias("existing_edges"))
 
 
-def embed_hashed(texts: Iterator[pd.Series], dim: int = 256) -> Iterator[pd.Series]:
+def embed_hashed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """A stand-in for an embedding service: counts of hashed character trigrams, scaled to length 1; blank texts are zero."""
     import zlib
 
     for batch in texts:
         out = []
         for t in batch:
-            v = np.zeros(dim)
+            v = np.zeros(DIM)
             t = (t or "").lower().strip()
             for k in range(max(0, len(t) - 2)):
                 h = zlib.crc32(t[k : k + 3].encode())
-                v[h % dim] += 1 if h >> 31 else -1
+                v[h % DIM] += 1 if h >> 31 else -1
             size = np.sqrt(v @ v)
             out.append((v / size if size else v).astype(np.float32).tolist())
         yield pd.Series(out)

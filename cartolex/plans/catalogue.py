@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import graph_queries, relational_queries
+from . import graph_queries, relational_queries, text_queries
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "graph_queries", "relational_queries"]
+__all__ = ["QUERIES", "SQL", "graph_queries", "relational_queries", "text_queries"]

@@ -111,14 +111,14 @@ def q_ancestors(spark, d):
 
 
 @query("q_shortest_path", f"""{T}, used AS (SELECT * FROM edges){HOPS.replace('{start}', 'n:c:0')},
-b AS (SELECT 'n:c:22' AS id, (SELECT hops FROM h WHERE id = 'n:c:22') AS seq UNION ALL SELECT (SELECT min(e.source) FROM edges e JOIN h ON h.id = e.source WHERE e.target = b.id AND h.hops = b.seq - 1), seq - 1 FROM b WHERE seq > 0) SELECT seq::INTEGER AS seq, id FROM b WHERE seq IS NOT NULL""")
+b AS (SELECT 'n:c:1' AS id, (SELECT hops FROM h WHERE id = 'n:c:1') AS seq UNION ALL SELECT (SELECT min(e.source) FROM edges e JOIN h ON h.id = e.source WHERE e.target = b.id AND h.hops = b.seq - 1), seq - 1 FROM b WHERE seq > 0) SELECT seq::INTEGER AS seq, id FROM b WHERE seq IS NOT NULL""")
 def q_shortest_path(spark, d):
-    return enrich.shortest_path(trade(spark, d).edges, "n:c:0", "n:c:22")
+    return enrich.shortest_path(trade(spark, d).edges, "n:c:0", "n:c:1")
 
 
 @query("q_ladder")
 def q_ladder(spark, d):
-    return enrich.ladder_path(trade(spark, d).edges, "n:c:0", "n:c:22")
+    return enrich.ladder_path(trade(spark, d).edges, "n:c:0", "n:c:1")
 
 
 @query("q_easiest_path", f"""{T}, k AS (SELECT source, target, n.difficulty + 0.5 * (1 - weight) AS cost FROM edges JOIN nodes n ON n.id = target),
