@@ -388,7 +388,7 @@ def test_texts_beyond_a_sweep(spark, monkeypatch):
 
 def test_run_length_index_streams_its_texts():
     rng = np.random.default_rng(7)
-    texts = [bytes(rng.choice(list(b"ab"), 30)) for _ in range(9)] + [b"a" * 30] * 2
+    texts = [bytes(rng.choice(list(b"ab"), 30).tolist()) for _ in range(9)] + [b"a" * 30] * 2
     index = runindex.RunLengthIndex(texts, 5)
     text, at, kind = index.matches()
     by = defaultdict(set)
