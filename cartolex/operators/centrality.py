@@ -16,10 +16,6 @@ from ..functions import columns as C
 from ..graph import PropertyGraph, collapse_edges
 from . import fixpoint, kernels
 
-#: Edges (and nodes) up to which one task computes an iterative metric; larger graphs use DataFrame loops.
-SMALL = 100_000
-
-
 def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """id, degree_in, degree_out, degree_centrality; a self-loop counts on both sides. edges: collapsed."""
     ends = edges.select(F.col("source").alias("id"), F.lit(0).alias("i"), F.lit(1).alias("o")).unionByName(edges.select(F.col("target").alias("id"), F.lit(1).alias("i"), F.lit(0).alias("o")))
@@ -31,10 +27,6 @@ def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return out.select("id", zero("degree_in").alias("degree_in"), zero("degree_out").alias("degree_out"), share.alias("degree_centrality"))
 
 
-def _small(nodes: DataFrame, edges: DataFrame) -> bool:
-    return edges.limit(SMALL + 1).count() <= SMALL and nodes.limit(SMALL + 1).count() <= SMALL
-
-
 def _gathered(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """One table of a small graph's nodes (target null) and edges, under one key."""
     n = nodes.select(F.col("_ord"), F.col("id").alias("source"), F.lit(None).cast("string").alias("target"), F.col("difficulty").cast("double").alias("weight")) if "difficulty" in nodes.columns else nodes.select("_ord", F.col("id").alias("source"), F.lit(None).cast("string").alias("target"), F.lit(None).cast("double").alias("weight"))
@@ -51,7 +43,7 @@ def _split(g: pd.DataFrame) -> tuple[list[str], list[tuple[str, str, float]], di
 
 def pagerank(nodes: DataFrame, edges: DataFrame, name: str = "pagerank", damping: float = 0.85, rounds: int = 100, tol: float = 1e-6, small: bool | None = None) -> DataFrame:
     """id and the rank. If it doesn't converge in time, a tolerance of 1e-3 is tried. edges: collapsed."""
-    if _small(nodes, edges) if small is None else small:
+    if fixpoint.is_small(nodes, edges) if small is None else small:
 
         def kernel(g: pd.DataFrame) -> pd.DataFrame:
             ids, links, _ = _split(g)
@@ -101,13 +93,13 @@ def educational_importance(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def path_metrics(nodes: DataFrame, edges: DataFrame, tasks: int = 8) -> DataFrame:
     """id, betweenness_centrality, out-closeness by weighted shortest paths of length 1 / weight. edges: collapsed.
 
-    Sources are dealt to tasks, each of which holds the adjacency (a broadcast whose size is checked: at most SMALL
+    Sources are dealt to tasks, each of which holds the adjacency (a broadcast whose size is checked: at most fixpoint.SMALL
     edges) and searches from its own; their dependencies are summed by node. A larger graph is refused, because exact
     all-sources paths take nodes times edges.
     """
     spark = nodes.sparkSession
-    if not _small(nodes, edges):
-        raise ValueError(f"exact shortest paths from all sources are for graphs of up to {SMALL} edges; use a subgraph (top_nodes)")
+    if not fixpoint.is_small(nodes, edges):
+        raise ValueError(f"exact shortest paths from all sources are for graphs of up to {fixpoint.SMALL} edges; use a subgraph (top_nodes)")
     rows = edges.select("source", "target", C.inverse_weight(F.col("weight")).alias("length"), "_ord").orderBy("_ord").toPandas()
     adjacency: dict[str, list[tuple[str, float]]] = defaultdict(list)
     for s, t, length in zip(rows["source"], rows["target"], rows["length"], strict=True):
@@ -140,7 +132,7 @@ def prerequisite_metrics(nodes: DataFrame, edges: DataFrame, small: bool | None
     """id, prerequisite_depth, learning_effort over PREREQUISITE edges (any case), with components as units."""
     own = nodes.select("_ord", "id", F.coalesce("difficulty", F.lit(S.DIFFICULTY)).alias("difficulty"))
     chain = edges.where(F.upper("type") == "PREREQUISITE")
-    if _small(own, chain) if small is None else small:
+    if fixpoint.is_small(own, chain) if small is None else small:
 
         def kernel(g: pd.DataFrame) -> pd.DataFrame:
             ids, links, difficulty = _split(g)

@@ -13,7 +13,7 @@ from .. import schema as S
 from .. import scratch
 from ..functions import columns as C
 from ..graph import PropertyGraph, collapse_edges, endpoints_in
-from . import centrality, fixpoint, kernels, relational
+from . import fixpoint, kernels, relational
 
 LINK_TYPES = ("PREREQUISITE", "ELABORATES", "EXAMPLE_OF", "TESTS")
 
@@ -190,14 +190,14 @@ def demo_path(graph: PropertyGraph, strategy: int = 1, most: int = 15) -> DataFr
     """seq, id of a tour: 1 optimal, 2 showcase, 3 critical (others: optimal).
 
     Showcase is windows alone. The other two are greedy and order-dependent; they run in one task over the nodes and
-    collapsed edges, which must fit there (centrality.SMALL edges; take top_nodes() of a larger graph first).
+    collapsed edges, which must fit there (fixpoint.SMALL edges; take top_nodes() of a larger graph first).
     """
     nodes = graph.nodes
     if strategy == 2 and nodes.select(F.coalesce("cluster_id", F.lit(0))).distinct().count() > 1:
         return showcase(nodes, most)
     edges = collapse_edges(graph.edges)
-    if not centrality._small(nodes, edges):
-        raise ValueError(f"tours are planned on graphs of up to {centrality.SMALL} edges; take top_nodes() first")
+    if not fixpoint.is_small(nodes, edges):
+        raise ValueError(f"tours are planned on graphs of up to {fixpoint.SMALL} edges; take top_nodes() first")
     metrics = ["prerequisite_depth", "educational_importance", "learning_effort", "pagerank", "bridge_score", "betweenness_centrality"]
     have = [m for m in metrics if m in nodes.columns]
     n = nodes.select("_ord", F.col("id").alias("source"), F.lit(None).cast("string").alias("target"), F.lit(None).cast("string").alias("type"), *[F.col(m).cast("double").alias(m) for m in have])
@@ -248,6 +248,17 @@ def path_costs(nodes: DataFrame, edges: DataFrame, alpha: float = 0.0, beta: flo
 def least_costs(costs: DataFrame, start: str, rounds: int = 1000) -> DataFrame:
     """id, cost: the least sum of costs from start to each node that it reaches (Bellman and Ford's relaxation)."""
     spark = costs.sparkSession
+    if fixpoint.is_small(costs):
+
+        def search(g: pd.DataFrame) -> pd.DataFrame:
+            out = defaultdict(list)
+            for s, t, c in zip(g["source"], g["target"], g["cost"], strict=True):
+                out[s].append((t, c))
+            found, _ = kernels.from_source(start, out)
+            return pd.DataFrame({"id": list(found), "cost": list(found.values())})
+
+        seed = spark.createDataFrame([(start, start, 0.0)], "source string, target string, cost double")
+        return costs.select("source", "target", "cost").unionByName(seed).withColumn("one", F.lit(1)).groupBy("one").applyInPandas(search, "id string, cost double")
     best = scratch.settle(spark.createDataFrame([(start, 0.0)], "id string, cost double"), "costs")
     front = best
     for _ in range(rounds):

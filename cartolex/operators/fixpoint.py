@@ -1,7 +1,13 @@
-"""Iterative graph algorithms as DataFrame loops: components, reachability, longest paths, shortest paths."""
+"""Iterative graph algorithms: components, reachability, longest paths, shortest paths.
+
+Graphs of up to SMALL edges are gathered in one task, where a kernel takes no rounds; larger ones run as DataFrame loops.
+"""
 
 from __future__ import annotations
 
+from collections import defaultdict, deque
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,12 +15,42 @@ from pyspark.sql import functions as F
 from .. import scratch
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+#: Rows of each table up to which one task does the work.
+SMALL = 100_000
+
+
+def is_small(*tables: DataFrame) -> bool:
+    return all(t.limit(SMALL + 1).count() <= SMALL for t in tables)
+
+
+def _least_roots(g: pd.DataFrame) -> pd.DataFrame:
+    up: dict[str, str] = {}
+
+    def find(x: str) -> str:
+        root = x
+        while up.setdefault(root, root) != root:
+            root = up[root]
+        while up[x] != root:
+            up[x], x = root, up[x]
+        return root
+
+    for a, b in zip(g["a"], g["b"], strict=True):
+        a, b = find(a), find(b)
+        if a != b:
+            up[max(a, b)] = min(a, b)
+    return pd.DataFrame({"id": list(up), "root": [find(x) for x in list(up)]})
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame, small: bool | None = None) -> DataFrame:
     """id, root: the smallest id that edges reach in either direction.
 
     Each round hooks every root to the least root among its neighbours' and then halves all chains, so that the number
     of rounds follows the logarithm of the longest path rather than its length.
     """
+    if is_small(nodes, edges) if small is None else small:
+        rows = nodes.select(F.col("id").alias("a"), F.col("id").alias("b")).unionByName(edges.select(F.col("source").alias("a"), F.col("target").alias("b")).where("a IS NOT NULL AND b IS NOT NULL"))
+        found = rows.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(_least_roots, "id string, root string")
+        return found.join(nodes.select("id").distinct(), "id", "left_semi")
     labels = scratch.settle(nodes.select("id", F.col("id").alias("root")).distinct(), "labels")
     both = scratch.settle(edges.where("source <> target").select(F.col("source").alias("a"), F.col("target").alias("b")).unionByName(edges.where("source <> target").select(F.col("target").alias("a"), F.col("source").alias("b"))).distinct(), "links")
     while True:
@@ -41,8 +77,33 @@ def component_ids(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return roots.join(numbered, "root").select("id", "component_id")
 
 
-def breadth_first(edges: DataFrame, start: DataFrame, most: int = 1_000) -> DataFrame:
-    """id, hops, parent: the fewest edges from start (id, _ord) to each node it reaches; of equal parents the first in order."""
+def _levels(most: int):
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        out: dict[str, list[str]] = defaultdict(list)
+        first = g["target"].isna()
+        for s, t in zip(g["source"][~first], g["target"][~first], strict=True):
+            out[s].append(t)
+        hops = dict.fromkeys(g["source"][first], 0)
+        parent: dict[str, str | None] = dict.fromkeys(hops)
+        queue = deque(hops)
+        while queue:
+            v = queue.popleft()
+            for w in out[v] if hops[v] < most else ():
+                if w not in hops:
+                    hops[w], parent[w] = hops[v] + 1, v
+                    queue.append(w)
+                elif hops[w] == hops[v] + 1:
+                    parent[w] = min(parent[w], v)
+        return pd.DataFrame({"id": list(hops), "hops": list(hops.values()), "parent": [parent[v] for v in hops]})
+
+    return run
+
+
+def breadth_first(edges: DataFrame, start: DataFrame, most: int = 1_000, small: bool | None = None) -> DataFrame:
+    """id, hops, parent: the fewest edges from start (id) to each node it reaches; of equal parents the smallest id."""
+    if is_small(edges, start) if small is None else small:
+        rows = edges.select("source", "target").where("target IS NOT NULL").unionByName(start.select(F.col("id").alias("source"), F.lit(None).cast("string").alias("target")))
+        return rows.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(_levels(most), "id string, hops int, parent string")
     seen = scratch.settle(start.select("id", F.lit(0).alias("hops"), F.lit(None).cast("string").alias("parent")).distinct(), "seen")
     front = seen
     for hop in range(1, most + 1):

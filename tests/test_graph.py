@@ -63,14 +63,18 @@ def test_components_and_isolated_nodes(spark):
     n = [(c, "Chunk", 1) for c in "abcdefgh"]
     e = [("b", "a", "X", 1.0), ("b", "c", "X", 1.0), ("h", "g", "X", 1.0), ("d", "d", "X", 1.0)]
     g = PropertyGraph.of(spark, n, e)
+    loop = {r["id"]: r["root"] for r in fixpoint.connected_components(g.nodes, g.edges, small=False).collect()}
+    assert loop == {r["id"]: r["root"] for r in fixpoint.connected_components(g.nodes, g.edges).collect()}
+    start = g.nodes.where("id = 'b'")
+    assert set(fixpoint.breadth_first(g.edges, start, small=False).collect()) == set(fixpoint.breadth_first(g.edges, start).collect())
     assert {r["id"]: r["component_id"] for r in fixpoint.component_ids(g.nodes, g.edges).collect()} == {"a": 0, "b": 0, "c": 0, "d": 1, "e": 2, "f": 3, "g": 4, "h": 4}
 
 
 def test_long_chain_is_one_component(spark):
-    n = [(f"v{i:03d}", "Chunk", 1) for i in range(200)]
-    e = [(f"v{i:03d}", f"v{i + 1:03d}", "X", 1.0) for i in range(199)]
+    n = [(f"v{i:03d}", "Chunk", 1) for i in range(100)]
+    e = [(f"v{i:03d}", f"v{i + 1:03d}", "X", 1.0) for i in range(99)]
     g = PropertyGraph.of(spark, n, e)
-    assert {r["root"] for r in fixpoint.connected_components(g.nodes, g.edges).collect()} == {"v000"}
+    assert {r["root"] for r in fixpoint.connected_components(g.nodes, g.edges, small=False).collect()} == {"v000"}
 
 
 def test_empty_and_single(spark):
