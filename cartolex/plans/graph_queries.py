@@ -37,7 +37,7 @@ def q_edu_pagerank_k(spark, d):
 
 @query("q_pagerank")
 def q_pagerank(spark, d):
-    g = purchases(spark, d)
+    g = purchases(spark, d, None)
     return centrality.pagerank(g.nodes, g.collapsed())
 
 

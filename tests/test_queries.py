@@ -5,7 +5,8 @@ import os
 import duckdb
 import pytest
 
-from cartolex.plans import catalogue
+from cartolex.operators import centrality
+from cartolex.plans import catalogue, fixtures
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
@@ -40,3 +41,23 @@ def test_query(spark, duck, name):
     assert sorted(got.columns) == sorted(columns)
     key = lambda rows: sorted([tuple(map(rounded, r)) for r in rows], key=str)
     assert key(tuple(r[c] for c in columns) for r in got.collect()) == key(want.fetchall())
+
+
+def test_pagerank_ranks_all_purchases(spark, duck):
+    links = duck.execute("SELECT s, t, 1.0::DOUBLE / (1 + count(*)) FROM (SELECT l_partkey AS s, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS t FROM lineitem) WHERE s <> t GROUP BY s, t").fetchall()
+    parts = [k for (k,) in duck.execute("SELECT p_partkey FROM part").fetchall()]
+    total = dict.fromkeys(parts, 0.0)
+    for s, _, w in links:
+        total[s] += w
+    x = dict.fromkeys(parts, 1 / len(parts))
+    for _ in range(100):
+        new = dict.fromkeys(parts, (0.15 + 0.85 * sum(x[v] for v in parts if not total[v])) / len(parts))
+        for s, t, w in links:
+            new[t] += 0.85 * x[s] * w / total[s]
+        x = new
+    g = fixtures.purchases(spark, SF, None)
+    assert g.edges.count() == len(links)
+    for ranks in (catalogue.QUERIES["q_pagerank"](spark, SF), centrality.pagerank(g.nodes, g.collapsed(), small=False)):
+        got = {r["id"]: r["pagerank"] for r in ranks.collect()}
+        assert got.keys() == {f"p:c:{k}" for k in parts}
+        assert sum(abs(got[f"p:c:{k}"] - x[k]) for k in parts) < 2e-3
