@@ -50,15 +50,20 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * set_bits > n, bitorder="little").view(np.int64)[0])
 
 
+def text_hash():
+    """A text's own hash as a column, by which its rows are found again; a null text is an empty one."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp for every row; a null text is an empty one."""
+    """doc_id, text_hash, fp for every row; a null text is an empty one."""
 
     @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fingerprint(t or "", shingle) for t in b.column(1).to_pylist()], pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([fingerprint(t or "", shingle) for t in b.column(2).to_pylist()], pa.int64())], ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), text_hash().alias("text_hash"), "text").mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 class BKTree:
@@ -184,12 +189,17 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     Null and empty texts have fingerprint 0 and link with each other like any. A null doc_id counts for no minimum; a
     component of null ids alone has a null component_id. Repeated rows are kept.
     """
+    return labelled(docs, radius, shingle, chunk).select("doc_id", "fp", "component_id")
+
+
+def labelled(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, chunk: int = CHUNK) -> DataFrame:
+    """near_duplicates() with text_hash and label, which tells components apart that have one component_id."""
     each = c.cut(fingerprints(docs, shingle), "fp")
     classes = c.cut(each.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     joined = components(links(classes.select("fp"), radius, chunk))
     label = classes.join(joined, classes["fp"] == joined["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("label"))
     ids = label.groupBy("label").agg(F.min("least").alias("component_id"))
-    return each.join(label.select("fp", "label").join(ids, "label").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return each.join(label.select("fp", "label").join(ids, "label").select("fp", "label", "component_id"), "fp").select("doc_id", "text_hash", "fp", "label", "component_id")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

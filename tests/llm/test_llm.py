@@ -542,3 +542,15 @@ def test_pipeline_stages_take_odd_rows(spark, none):
     for _, stage in P.STAGES:
         stage(spark, odd, sf).collect()
         assert stage(spark, none, sf).collect() == []
+
+
+def test_dedup_stage_judges_each_text_of_an_id(spark):
+    import corpus_pipeline as P
+
+    def text(seed):
+        return " ".join(map(str, np.random.default_rng(seed).integers(0, 10**6, 60)))
+
+    docs = [(i, t, "en", "src0", k) for k, (i, t) in enumerate([(None, text(0)), (None, text(1)), (None, text(2)), (1, text(3)), (1, text(3)), (2, text(3)), (2, text(4)), (5, text(5)), (5, text(6)), (6, text(5)), (7, text(4)), (8, text(7))])]
+    got = rows(P.simhash_near_dedup(spark, spark.createDataFrame(docs, DOCS), ""))
+    want = [(None, text(0)), (None, text(1)), (None, text(2)), (1, text(3)), (2, text(4)), (5, text(5)), (5, text(6)), (8, text(7))]
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(want)
