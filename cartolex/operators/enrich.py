@@ -245,10 +245,14 @@ def path_costs(nodes: DataFrame, edges: DataFrame, alpha: float = 0.0, beta: flo
     return edges.join(d, "target").withColumn("cost", alpha + beta * F.col("__d") + sigma * (1 - w)).drop("__d")
 
 
-def least_costs(costs: DataFrame, start: str, rounds: int = 1000) -> DataFrame:
-    """id, cost: the least sum of costs from start to each node that it reaches (Bellman and Ford's relaxation)."""
+def least_costs(costs: DataFrame, start: str, small: bool | None = None) -> DataFrame:
+    """id, cost: the least sum of costs from start to each node that it reaches (Bellman and Ford's relaxation).
+
+    Large graphs take rounds until no cost falls; costs that still fall after a round for each node go round a cycle of
+    negative cost and have no least sum.
+    """
     spark = costs.sparkSession
-    if fixpoint.is_small(costs):
+    if fixpoint.is_small(costs) if small is None else small:
 
         def search(g: pd.DataFrame) -> pd.DataFrame:
             out = defaultdict(list)
@@ -261,6 +265,7 @@ def least_costs(costs: DataFrame, start: str, rounds: int = 1000) -> DataFrame:
         return costs.select("source", "target", "cost").unionByName(seed).withColumn("one", F.lit(1)).groupBy("one").applyInPandas(search, "id string, cost double")
     best = scratch.settle(spark.createDataFrame([(start, 0.0)], "id string, cost double"), "costs")
     front = best
+    rounds = costs.select("target").distinct().count() + 1
     for _ in range(rounds):
         step = front.select(F.col("id").alias("source"), F.col("cost").alias("before")).join(costs.select("source", "target", "cost"), "source").groupBy(F.col("target").alias("id")).agg(F.min(F.col("before") + F.col("cost")).alias("new"))
         better = scratch.settle(step.join(best, "id", "left").where("cost IS NULL OR new < cost").select("id", F.col("new").alias("cost")), "front")
@@ -268,6 +273,8 @@ def least_costs(costs: DataFrame, start: str, rounds: int = 1000) -> DataFrame:
             break
         best = scratch.settle(best.join(better.select("id"), "id", "left_anti").unionByName(better), "costs")
         front = better
+    else:
+        raise ValueError("a cycle of negative cost")
     return best
 
 

@@ -5,6 +5,7 @@ Graphs of up to SMALL edges are gathered in one task, where a kernel takes no ro
 
 from __future__ import annotations
 
+import itertools
 from collections import defaultdict, deque
 
 import pandas as pd
@@ -77,7 +78,7 @@ def component_ids(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return roots.join(numbered, "root").select("id", "component_id")
 
 
-def _levels(most: int):
+def _levels(most: int | None):
     def run(g: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list[str]] = defaultdict(list)
         first = g["target"].isna()
@@ -88,7 +89,7 @@ def _levels(most: int):
         queue = deque(hops)
         while queue:
             v = queue.popleft()
-            for w in out[v] if hops[v] < most else ():
+            for w in out[v] if most is None or hops[v] < most else ():
                 if w not in hops:
                     hops[w], parent[w] = hops[v] + 1, v
                     queue.append(w)
@@ -99,14 +100,15 @@ def _levels(most: int):
     return run
 
 
-def breadth_first(edges: DataFrame, start: DataFrame, most: int = 1_000, small: bool | None = None) -> DataFrame:
-    """id, hops, parent: the fewest edges from start (id) to each node it reaches; of equal parents the smallest id."""
+def breadth_first(edges: DataFrame, start: DataFrame, most: int | None = None, small: bool | None = None) -> DataFrame:
+    """id, hops, parent: the fewest edges from start (id) to each node it reaches, or reaches within `most` edges; of equal
+    parents the smallest id."""
     if is_small(edges, start) if small is None else small:
         rows = edges.select("source", "target").where("target IS NOT NULL").unionByName(start.select(F.col("id").alias("source"), F.lit(None).cast("string").alias("target")))
         return rows.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(_levels(most), "id string, hops int, parent string")
     seen = scratch.settle(start.select("id", F.lit(0).alias("hops"), F.lit(None).cast("string").alias("parent")).distinct(), "seen")
     front = seen
-    for hop in range(1, most + 1):
+    for hop in itertools.count(1) if most is None else range(1, most + 1):
         step = front.select(F.col("id").alias("source")).join(edges.select("source", "target"), "source").groupBy(F.col("target").alias("id")).agg(F.min("source").alias("parent"))
         front = scratch.settle(step.join(seen.select("id"), "id", "left_anti").select("id", F.lit(hop).alias("hops"), "parent"), "front")
         if front.isEmpty():

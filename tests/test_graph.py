@@ -175,3 +175,30 @@ def test_schema_rules(spark):
     g = PropertyGraph.of(spark, [("a b", "Chunk", 7), (None, "Thing", 1)], [("a", "b", "NONE", 1.5)])
     got = {(r["rule"], r["entity"]) for r in quality.schema_violations(g.nodes.withColumn("text", F.lit(None).cast("string")), g.edges).collect()}
     assert got == {("id_pattern", "node"), ("difficulty", "node"), ("text_missing", "node"), ("id_missing", "node"), ("type", "node"), ("type", "edge"), ("weight", "edge")}
+
+
+def test_searches_go_on_until_nothing_is_left(spark, monkeypatch):
+    edge = "source string, target string"
+    way = [f"v{k:04d}" for k in range(2000)]
+    line = spark.createDataFrame(list(zip(way, way[1:], strict=False)), edge)
+    start = spark.createDataFrame([(way[0],)], "id string")
+    assert {r["id"]: r["hops"] for r in fixpoint.breadth_first(line, start).collect()} == {v: k for k, v in enumerate(way)}
+    assert fixpoint.breadth_first(line, start, 30).count() == 31
+    few = spark.createDataFrame(list(zip(way[:8], way[1:8], strict=False)), edge)
+    assert {r["hops"] for r in fixpoint.breadth_first(few, start, small=False).collect()} == set(range(8))
+    # The colours of a cycle, which take as many rounds as it has nodes, are given; the search back is under test.
+    monkeypatch.setattr(fixpoint, "_spread", lambda labels, links: labels.select("id", F.lit(way[0]).alias("root")))
+    nodes = spark.createDataFrame([(v,) for v in way], "id string")
+    ring = line.unionByName(spark.createDataFrame([(way[-1], way[0])], edge))
+    found = fixpoint.strong_components(nodes, ring).collect()
+    assert len(found) == 2000 and {r["scc"] for r in found} == {way[0]}
+
+
+def test_costs_are_final_or_refused(spark):
+    cost = "source string, target string, cost double"
+    e = [("a", "b", 5.0), ("a", "c", 1.0), ("c", "d", 1.0), ("d", "b", 1.0), ("b", "e", 1.0)]
+    for small in (True, False):
+        got = {r["id"]: r["cost"] for r in enrich.least_costs(spark.createDataFrame(e, cost), "a", small).collect()}
+        assert got == {"a": 0.0, "c": 1.0, "d": 2.0, "b": 3.0, "e": 4.0}
+    with pytest.raises(ValueError, match="negative"):
+        enrich.least_costs(spark.createDataFrame([("a", "b", 1.0), ("b", "a", -2.0)], cost), "a", False)
