@@ -45,8 +45,8 @@ class Words:
 
     The vocabulary file normalizes (NFC, white space, lower case) and splits into runs of letters, single numbers and
     runs of other characters, which are encoded one by one. Here a block of texts is split so with NumPy, and only its
-    distinct words go to the tokenizer. Texts with an apostrophe (the file splits English contractions by it) or with
-    characters from PLAIN on go to the tokenizer whole.
+    distinct words go to the tokenizer. Texts with an apostrophe (the file splits English contractions by it), with
+    characters from PLAIN on or with the literal of an added token (<|endoftext|>) go to the tokenizer whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,14 +56,15 @@ class Words:
 
         self.tokenizer, self.single = Tokenizer.from_file(path), Tokenizer.from_file(path)
         for t in (self.tokenizer, self.single):
-            t.encode_special_tokens = True
             t.no_truncation()
         # For words that are already normalized and split: white space is all that parts them.
         self.single.normalizer = normalizers.Sequence([])
         self.single.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        self.other = re.compile("['\u0130" + chr(PLAIN) + "-\U0010ffff]").search
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # In any case, since _plain() may hand lower-case texts to the tokenizer.
+        self.other = re.compile("|".join(["['\u0130" + chr(PLAIN) + "-\U0010ffff]", *[f"(?i:{x})" for x in added]])).search
         self.classes = _classes()
         self._forget()
 

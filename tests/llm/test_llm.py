@@ -554,3 +554,15 @@ def test_dedup_stage_judges_each_text_of_an_id(spark):
     got = rows(P.simhash_near_dedup(spark, spark.createDataFrame(docs, DOCS), ""))
     want = [(None, text(0)), (None, text(1)), (None, text(2)), (1, text(3)), (2, text(4)), (5, text(5)), (5, text(6)), (8, text(7))]
     assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(want)
+
+
+def test_literals_of_added_tokens_are_these_tokens(spark):
+    from tokenizers import Tokenizer
+
+    path = tokenizer()
+    t = Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b", "<|startoftext|>x<|endoftext|><|endoftext|>", "a <|EndOfText|> b", "it's <|endoftext|>", "<|endoftext|", "\u0181 plain"]
+    docs = spark.createDataFrame([(k, x, "en", "src0", 0) for k, x in enumerate(texts)], DOCS)
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in rows(packing.pack_documents(docs, path))}
+    ids = [[*t.encode(x, add_special_tokens=False).ids, 0] for x in texts]
+    assert got == {k: (len(x), zlib.crc32(np.asarray(x, "<u4").tobytes())) for k, x in enumerate(ids)}
