@@ -14,8 +14,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def trade(spark: SparkSession, sf_dir: str, top: int = 4) -> PropertyGraph:
-    """Nations as nodes; an edge from a supplier's nation to each of the customers' nations it sells most to."""
+def trade(spark: SparkSession, sf_dir: str, top: int | None = 4) -> PropertyGraph:
+    """Nations as nodes; an edge from a supplier's nation to each of the `top` customers' nations it sells most to, or to all."""
     t = lambda n: table(spark, sf_dir, n)
     k, name = F.col("n_nationkey"), F.initcap("n_name")
     about = F.concat(F.lit("about "), name)
@@ -36,8 +36,9 @@ def trade(spark: SparkSession, sf_dir: str, top: int = 4) -> PropertyGraph:
     sold = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("l_orderkey", "s_nationkey").agg(F.count(F.lit(1)).alias("n"))
     bought = sold.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey", "s_nationkey").agg(F.sum("n").alias("n"))
     pairs = bought.join(customer, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("s_nationkey").alias("s"), F.col("c_nationkey").alias("t")).agg(F.sum("n").alias("n"))
-    best = W.partitionBy("s").orderBy(F.desc("n"), "t")
-    pairs = pairs.withColumn("r", F.row_number().over(best)).where(F.col("r") <= top)
+    if top is not None:
+        best = W.partitionBy("s").orderBy(F.desc("n"), "t")
+        pairs = pairs.withColumn("r", F.row_number().over(best)).where(F.col("r") <= top)
     most = pairs.agg(F.max("n").alias("most"))
     s, d = F.col("s"), F.col("t")
     mix = (s * 25 + d) % 4

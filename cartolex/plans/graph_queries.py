@@ -118,7 +118,7 @@ def q_shortest_path(spark, d):
 
 @query("q_ladder")
 def q_ladder(spark, d):
-    return enrich.ladder_path(trade(spark, d).edges, "n:c:0", "n:c:1")
+    return enrich.ladder_path(trade(spark, d, None).edges, "n:c:0", "n:c:1")
 
 
 @query("q_easiest_path", f"""{T}, k AS (SELECT source, target, n.difficulty + 0.5 * (1 - weight) AS cost FROM edges JOIN nodes n ON n.id = target),
@@ -141,41 +141,41 @@ def q_closeness(spark, d):
 
 @query("q_betweenness")
 def q_betweenness(spark, d):
-    g = trade(spark, d)
+    g = trade(spark, d, None)
     return centrality.path_metrics(g.nodes, g.collapsed()).select("id", R("betweenness_centrality").alias("betweenness_centrality"))
 
 
 @query("q_louvain")
 def q_louvain(spark, d):
-    g = trade(spark, d)
+    g = trade(spark, d, None)
     return centrality.louvain(g.nodes, g.collapsed())
 
 
 @query("q_bridge_score")
 def q_bridge_score(spark, d):
-    g = trade(spark, d)
+    g = trade(spark, d, None)
     e = g.collapsed()
     return centrality.bridge_scores(g.nodes, e, centrality.louvain(g.nodes, e), centrality.path_metrics(g.nodes, e)).withColumn("bridge_score", R("bridge_score"))
 
 
 @query("q_all_metrics")
 def q_all_metrics(spark, d):
-    return centrality.all_metrics(trade(spark, d)).nodes
+    return centrality.all_metrics(trade(spark, d, None)).nodes
 
 
 @query("q_all_edge_metrics")
 def q_all_edge_metrics(spark, d):
-    return centrality.all_metrics(trade(spark, d)).edges
+    return centrality.all_metrics(trade(spark, d, None)).edges
 
 
 @query("q_demo_path_optimal")
 def q_demo_path_optimal(spark, d):
-    return enrich.demo_path(centrality.all_metrics(trade(spark, d)), 1)
+    return enrich.demo_path(centrality.all_metrics(trade(spark, d, None)), 1)
 
 
 @query("q_demo_path_critical")
 def q_demo_path_critical(spark, d):
-    return enrich.demo_path(centrality.all_metrics(trade(spark, d)), 3)
+    return enrich.demo_path(centrality.all_metrics(trade(spark, d, None)), 3)
 
 
 @query("q_cycles", f"{T}, used AS (SELECT source, target FROM edges WHERE type IN ('PREREQUISITE', 'ELABORATES', 'PARALLEL')), r AS (SELECT source AS a, target AS b FROM used WHERE source <> target UNION SELECT r.a, u.target FROM r JOIN used u ON u.source = r.b) SELECT n.id, coalesce((SELECT min(x.b) FROM r x JOIN r y ON x.a = n.id AND y.a = x.b AND y.b = n.id), n.id) AS scc FROM nodes n")

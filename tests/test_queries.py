@@ -61,3 +61,10 @@ def test_pagerank_ranks_all_purchases(spark, duck):
         got = {r["id"]: r["pagerank"] for r in ranks.collect()}
         assert got.keys() == {f"p:c:{k}" for k in parts}
         assert sum(abs(got[f"p:c:{k}"] - x[k]) for k in parts) < 2e-3
+
+
+def test_metrics_without_sql_take_all_nation_pairs(spark, duck):
+    pairs = duck.execute("SELECT DISTINCT 'n:c:' || s_nationkey, 'n:c:' || c_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey").fetchall()
+    assert len(pairs) > 100  # more than 4 a nation
+    got = [(r["source"], r["target"]) for r in catalogue.QUERIES["q_all_edge_metrics"](spark, SF).collect()]
+    assert sorted(got) == sorted(pairs)
