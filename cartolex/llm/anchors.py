@@ -39,7 +39,7 @@ def anchors(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     if n < WINDOW:
         return {k: np.zeros(0, np.int64) for k in ("row", "at", "first", "last", "hash", "context")}
     start = np.arange(n - K + 1)
-    h = c.span_hash(data, start, start + K)
+    h = c.gram_hash(data, K)
     key = (h >> np.uint64(_AT) << np.uint64(_AT)) | start.astype(np.uint64)
     of = (least_in_spans(key, SPAN) & np.uint64((1 << _AT) - 1)).astype(np.int64)
     row = np.repeat(np.arange(len(off) - 1), np.diff(off))[: len(of)]

@@ -140,24 +140,33 @@ def runs(inside: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return start, end, np.searchsorted(off, start, "right") - 1
 
 
+#: Polynomials are taken modulo this prime (a Mersenne prime: the remainder is two shifts away), at two points at once.
+PRIME = (1 << 31) - 1
+POINTS = ((1_234_567_891, 1_998_244_353), (1_618_033_989, 1_414_213_563))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A number of up to 32 bits that is x modulo PRIME."""
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+    return (x & np.uint64(PRIME)) + (x >> np.uint64(31))
 
 
 def _cumulated(q: int, size: int) -> np.ndarray:
-    x = np.full(size, q, np.uint64)
-    x[0] = 1
-    return np.cumprod(x, dtype=np.uint64)
+    """1, q, q**2, ... modulo PRIME, by doubling."""
+    x = np.ones(1, np.uint64)
+    while len(x) < size:
+        x = np.concatenate([x, _fold(x * np.uint64(pow(q, len(x), PRIME)))])
+    return x[:size]
 
 
-def _power(p: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _powers.get(p)
+def _power(q: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    have = _powers.get(q)
     if have is None or len(have[0]) < n:
         size = max(n + n // 4, BLOCK_BYTES + 65536)
-        with np.errstate(over="ignore"):
-            have = tuple(_cumulated(q, size) for q in (p, pow(p, -1, 1 << 64)))
+        have = _cumulated(q, size), _cumulated(pow(q, -1, PRIME), size)
         if size <= 4 * BLOCK_BYTES:
-            _powers[p] = have
+            _powers[q] = have
     return have
 
 
@@ -170,13 +179,39 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
-    """64-bit hashes of data[start:end]: polynomials modulo 2**64 from one prefix sum, then scrambled. They depend on the bytes alone."""
+    """64-bit hashes of data[start:end]: two polynomials modulo a prime, from prefix sums, scrambled with the length.
+
+    They depend on the contents alone. Strings of equal length that differ agree by chance only (about 2**-62); strings
+    that agree under every polynomial modulo a power of two, as Thue-Morse strings do, differ here.
+    """
     if not len(start):
         return np.zeros(0, np.uint64)
-    up, down = _power(MULTIPLIERS[which], len(data) + 1)
+    lanes = []
+    for q in POINTS[which]:
+        up, down = _power(q, len(data) + 1)
+        x = (data.astype(np.uint64) + np.uint64(1)) * up[: len(data)]
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((x & np.uint64(PRIME)) + (x >> np.uint64(31)), out=total[1:])
+        x = _fold(_fold(total[end] - total[start]) * down[start])
+        lanes.append(np.where(x >= PRIME, x - np.uint64(PRIME), x))
+    with np.errstate(over="ignore"):
+        return mix((lanes[0] << np.uint64(31) | lanes[1]) + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def gram_hash(data: np.ndarray, k: int) -> np.ndarray:
+    """64-bit hashes of the k bytes (a multiple of 8) from each place on; words of 8 bytes are mixed one after another."""
+    n = len(data) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    body = np.ascontiguousarray(data)
+    words = np.ndarray((len(data) - 7,), "<u8", body.data, 0, (1,))
+    h = np.full(n, k, np.uint64)
     with np.errstate(over="ignore"):
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)])
-        return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+        for at in range(0, k, 8):
+            h = (h ^ words[at : at + n]) * np.uint64(0x9FB21C651E98DF25)
+            h ^= h >> np.uint64(32)
+        h *= np.uint64(0xC2B2AE3D27D4EB4F)
+    return h ^ (h >> np.uint64(29))
 
 
 def tree_sum(parts: DataFrame, dtype: str, fan: int = 32) -> np.ndarray | None:
