@@ -8,6 +8,7 @@ of a document's n-grams, so that a score is the mean of one table row per n-gram
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ _letters: list[np.ndarray] = []
 
 def _letter_table() -> np.ndarray:
     if not _letters:
-        _letters.append(np.fromiter((chr(k).isalpha() for k in range(1 << 16)), bool, 1 << 16))
+        _letters.append(np.fromiter((chr(k).isalpha() for k in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1))
     return _letters[0]
 
 
@@ -38,9 +39,7 @@ def codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lower = [t.lower() for t in texts]
     size = np.fromiter(map(len, lower), np.int64, len(lower))
     x = np.frombuffer(("\n" + "\n".join(lower) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
-    table = _letter_table()
-    low = np.minimum(x, 0xFFFF)
-    letter = table[low] | (x > 0xFFFF)
+    letter = _letter_table()[x]
     end = np.cumsum(size + 1)
     return np.where(letter, x, 0), end - size, end
 
