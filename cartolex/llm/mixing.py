@@ -1,8 +1,8 @@
 """Mixing sources to target weights by Poisson replication, in DataFrame functions alone.
 
 Each row is repeated a Poisson number of times whose mean is its source's target repetition rate. The draw inverts the
-distribution at a uniform number that md5 makes of the seed and the row's id, so it is the same wherever and however
-often a task runs. The output is dealt and sorted by another such hash, which is a global shuffle.
+distribution at a uniform number that md5 makes of the seed and the row's key, so it is the same wherever and however
+often a task runs. The key is the row's id; rows without an id or with one id among them are told apart by their place. The output is dealt and sorted by another such hash, which is a global shuffle.
 """
 
 from __future__ import annotations
@@ -63,24 +63,50 @@ def _drawn(rate: DataFrame) -> DataFrame:
     return out.withColumn("__cdf", cumulative(F.col("rate") / F.col("__draws"))).drop("rate")
 
 
+#: Repeated ids up to which they are broadcast (some 50 bytes each); beyond it their rows are joined by a shuffle.
+REPEATED = 100_000
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with __key: the id as text where one row has it, else the id (or the word null), a hash of the row and its
+    place in the table, so that each of several rows of an id, or without one, is drawn by itself.
+
+    The place is the number of the partition and the row's number there: it repeats when a task runs again on the same
+    files, but not on files cut otherwise.
+    """
+    own = F.col("doc_id").cast("string")
+    place = F.concat_ws(":", F.coalesce(own, F.lit("null")), F.xxhash64(*[F.col(f"`{x}`") for x in docs.columns]).cast("string"), F.monotonically_increasing_id().cast("string"))
+    rows = docs.withColumn("__place", place)
+    again = c.cut(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1").select("__id"), "repeated")
+    n = again.limit(REPEATED + 1).count()
+    if not n:
+        return rows.withColumn("__key", F.coalesce(own, "__place")).drop("__place")
+    again = F.broadcast(again) if n <= REPEATED else again
+    rows = rows.join(again, rows["doc_id"] == again["__id"], "left")
+    return rows.withColumn("__key", F.when(F.col("doc_id").isNull() | F.col("__id").isNotNull(), F.col("__place")).otherwise(own)).drop("__place", "__id")
+
+
 def mix_sources(docs: DataFrame, target: dict[str, float], seed: str = SEED, total: float | None = None, order: bool = True) -> DataFrame:
     """docs with every row repeated by its draw, plus copy_no (from 0) and shuffle_key, in the order of shuffle_key.
 
-    Rows with one id (equal rows too) are drawn alike; a null id is the word null. Other columns are carried along, and
-    an input column named copy_no or shuffle_key gives way. What is broadcast has a row for each entry of target at most.
+    Each row has a draw of its own: rows with one id, equal rows and rows without an id too (see keyed()). A null source
+    counts as one without a target; texts may be null, empty or of any length. Other columns are carried along, and an
+    input column named copy_no or shuffle_key (or with two leading underscores, as those used here) gives way. An empty
+    table gives no rows. What is broadcast has a row for each entry of target, or REPEATED rows, at most.
     """
-    docs = docs.drop("copy_no", "shuffle_key")
+    docs = docs.drop("copy_no", "shuffle_key", "__key", "__place", "__id", "__rows", "__wanted", "__source", "__draws", "__cdf", "__draws0", "__cdf0", "__n")
     named, others = rates(docs, target, total)
     named = _drawn(named).withColumnsRenamed({"source": "__source"})
     others = _drawn(others).withColumnsRenamed({"__draws": "__draws0", "__cdf": "__cdf0"})
-    own = docs.join(F.broadcast(named), docs["source"] == named["__source"], "left").crossJoin(F.broadcast(others))  # one row
+    rows = keyed(docs)
+    own = rows.join(F.broadcast(named), rows["source"] == named["__source"], "left").crossJoin(F.broadcast(others))  # one row
     own = own.withColumn("__draws", F.coalesce("__draws", "__draws0")).withColumn("__cdf", F.coalesce("__cdf", "__cdf0"))
-    doc = F.coalesce(docs["doc_id"].cast("string"), F.lit("null"))
+    doc = F.col("__key")
     one = lambda k: F.size(F.filter(F.col("__cdf"), lambda p: p < uniform(F.lit(seed), doc, k.cast("string"))))
     count = F.when(F.col("__draws") == 1, one(F.lit(0))).otherwise(F.aggregate(F.sequence(F.lit(0), F.col("__draws") - 1), F.lit(0), lambda acc, k: acc + one(k)))
-    out = own.withColumn("__n", count).where("__n > 0").select(*docs.columns, F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("copy_no"))
+    out = own.withColumn("__n", count).where("__n > 0").select(*docs.columns, "__key", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("copy_no"))
     key = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), doc, F.col("copy_no").cast("string")).cast("binary")), 1, 15), 16, 10).cast("long")
-    out = out.withColumn("shuffle_key", key)
+    out = out.withColumn("shuffle_key", key).drop("__key")
     if not order:
         return out
     return out.repartition(max(c.parts_for(docs, 16), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "shuffle_key").sortWithinPartitions("shuffle_key")
