@@ -1,13 +1,13 @@
 """Removal of repeated 100-byte strings by run-length indexes (run-compressed Burrows-Wheeler transforms).
 
 1. Each text is swept for its anchors (see anchors.py). An anchor's context is the bytes of all windows that have it.
-   Of equal contexts all but the earliest are covered whole; most of a corpus' copies end here, without their text.
-2. Contexts that share an anchor hash but differ may still share windows. Their texts are dealt to shards by the hash;
-   each shard builds one run-length index and streams its contexts through it to mark windows that begin earlier.
-   The windows of an anchor hash with too many contexts for one shard are dealt out one by one instead.
+   Equal contexts (equal in 126 bits of two independent hashes, of the anchor and of the whole) are one: all but the
+   earliest are covered whole, and their texts need not travel.
+2. Contexts that share an anchor but differ may still share windows. Their texts are dealt to shards by the anchor's
+   hash. A shard builds run-length indexes of earlier contexts and streams the later ones' matching statistics through
+   them; a window whose match is as long as a window is located by the sampled run ends, compared byte by byte, marked.
+   An anchor hash with too many contexts for one shard has its windows for contexts, which are equal or share nothing.
 3. What is covered meets the texts again, and is cut out.
-
-Every step is exact: a window is removed if and only if equal bytes begin earlier.
 """
 
 from __future__ import annotations
@@ -32,103 +32,193 @@ SWEEP = 2 << 20
 
 
 class RunLengthIndex:
-    """The Burrows-Wheeler transform of some texts (each with an end mark of its own) by its runs.
+    """The Burrows-Wheeler transform of some texts, by its runs, each text in a cell of its own choice.
 
-    It keeps, for each run, its first rank, the rank that its first symbol's predecessor has (so that one search makes
-    an LF step), and the text position at the run's end (the sample from which locate() starts). Ranks that begin a new
-    class of suffixes by their first `depth` bytes are kept as thresholds: two windows match for that long if and only
-    if no threshold parts their ranks.
+    Texts of different cells match nothing of each other's: the symbols are pairs of cell and byte. What is kept of each
+    run: its first and last rank, the text positions of both (the samples from which a match is located), the rank that
+    its first symbol goes to (so that an LF step is one search), and, against the run of the same symbol before it, the
+    threshold below which a rank is nearer to that one's end than to this one's start.
     """
 
-    def __init__(self, texts: list[bytes], depth: int = WINDOW) -> None:
-        m = len(texts)
-        self.count, self.depth = m, depth
-        sizes = np.fromiter(map(len, texts), np.int64, m)
-        ends = np.cumsum(sizes + 1) - 1
-        n = int(ends[-1]) + 1 if m else 0
-        body = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + m
-        body[ends] = np.arange(m)
-        self.starts, self.sizes = ends - sizes, sizes
-        rank, width, bits = body, 1, int(m + 256).bit_length()
-        pack = 1
-        while 2 * pack * bits <= 62:
-            pack *= 2
-        key = rank
-        while width < pack:
-            key = (key << (bits * width)) | np.append(key[width:], np.zeros(min(width, n), np.int64))
-            width *= 2
-        rank, order = self._ranks(key)
-        thresholds = None
+    def __init__(self, texts: list[bytes], cells: np.ndarray) -> None:
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        ends = np.cumsum(sizes + 1) - 1  # each text's end mark, which sorts before all bytes
+        n = len(ends) and int(ends[-1]) + 1
+        self.body = np.frombuffer(b"\0".join(texts) + b"\0" * 17, np.uint8)
+        sign = self.body[:n].astype(np.int64) + 1
+        sign[ends] = 0
+        cell = np.repeat(np.asarray(cells, np.int64), sizes + 1)
+        #: Symbols from each place to its text's end mark.
+        self.left = np.repeat(ends, sizes + 1) - np.arange(n)
+        symbols = cell * 257 + sign
+        order, lcp = self._sorted(sign, cell, int(sizes.max(initial=0)))
+        before = symbols[order - 1]
+        first = np.flatnonzero(np.diff(before, prepend=-1))
+        last = np.append(first[1:], n) - 1
+        self.first, self.last, self.symbol = first, last, before[first]
+        self.at_first, self.at_last = order[first], order[last]
+        by = np.argsort(self.symbol, kind="stable")
+        length = (last - first + 1)[by]
+        self.to = np.zeros(len(first), np.int64)
+        self.to[by] = np.cumsum(length) - length
+        #: Runs by (symbol, place), as one number, for the search of a symbol's next and last run.
+        self.by, self.key = by, self.symbol[by] * (len(first) + 1) + by
+        self.threshold = self._thresholds(lcp)
+
+    def _sorted(self, sign: np.ndarray, cell: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+        """The suffixes in order (of equal ones the earlier text's first), and what each shares with the one before."""
+        n, left = len(sign), self.left
+
+        def shifted(x: np.ndarray, by: int) -> np.ndarray:
+            out = np.zeros(n, np.int64)
+            out[: max(0, n - by)] = x[by:]
+            out[left < by] = 0  # beyond the end mark
+            return out
+
+        key = cell
+        for k in range(4):
+            key = key << 9 | shifted(sign, k)
+        width, ranks = 4, []
         while True:
-            if thresholds is None and width <= depth <= 2 * width:
-                by, at = self._ranks(rank * (n + 1) + self._shift(rank, depth - width))
-                thresholds = by[at]
-            if width >= depth and rank.max(initial=0) == n - 1:
+            order = np.argsort(key, kind="stable" if width > longest else None)
+            s = key[order]
+            new = np.concatenate([[False], s[1:] != s[:-1]])
+            rank = np.empty(n, np.int64)
+            rank[order] = np.cumsum(new) + 1
+            ranks.append((width, rank))
+            if width > longest or int(new.sum()) == n - 1:
                 break
-            rank, order = self._ranks(rank * (n + 1) + self._shift(rank, width))
+            key = rank * (n + 2) + shifted(rank, width)
             width *= 2
-        # Classes by depth bytes are contiguous in rank order; a threshold is where the class number rises.
-        self.thresholds = np.flatnonzero(np.diff(by[order], prepend=-1))
-        bwt = body[order - 1]
-        head = np.flatnonzero(np.diff(bwt, prepend=-1))
-        self.first, self.symbol = head, bwt[head]
-        length = np.diff(np.append(head, n))
-        by_symbol = np.argsort(self.symbol, kind="stable")
-        self.to = np.zeros(len(head), np.int64)
-        self.to[by_symbol] = np.cumsum(length[by_symbol]) - length[by_symbol]
-        self.sample = order[np.append(head[1:], n) - 1]
-
-    @staticmethod
-    def _shift(rank: np.ndarray, by: int) -> np.ndarray:
-        out = np.zeros(len(rank), np.int64)
-        out[: len(rank) - by] = rank[by:] + 1
+        # Pairs of neighbours go on by the widest equal step, then by single signs.
+        x, y = order[:-1], order[1:]
+        same = np.zeros(n, np.int64)
+        for width, rank in reversed(ranks):
+            i, j = x + same[1:], y + same[1:]
+            ok = (left[x] > same[1:]) & (left[y] > same[1:])
+            same[1:] += width * (ok & (rank[np.minimum(i, n - 1)] == rank[np.minimum(j, n - 1)]))
+        for _ in range(3):
+            i, j = x + same[1:], y + same[1:]
+            ok = (left[x] > same[1:]) & (left[y] > same[1:])
+            same[1:] += ok & (sign[np.minimum(i, n - 1)] == sign[np.minimum(j, n - 1)])
+        same[1:] = np.minimum(same[1:], np.minimum(left[x], left[y]))
+        same[1:][cell[x] != cell[y]] = 0
+        return order, same
+
+    def _thresholds(self, lcp: np.ndarray) -> np.ndarray:
+        """For each run in the order of key: where the least common prefix lies between the last run of its symbol and it."""
+        value = lcp << 32 | np.arange(len(lcp))
+        out = np.zeros(len(self.by), np.int64)
+        pair = np.flatnonzero(self.symbol[self.by][1:] == self.symbol[self.by][:-1]) + 1
+        if not len(pair):
+            return out
+        a, b = self.by[pair - 1] + 1, self.by[pair]  # whole runs between, then the first rank of b
+        least = value[self.first[b]]
+        level, done = np.minimum.reduceat(value, self.first), np.int64(1)
+        while True:  # ranges of one to two steps of this width are two overlapping steps
+            size = b - a
+            own = (size >= done) & (size < 2 * done)
+            least[own] = np.minimum(least[own], np.minimum(level[a[own]], level[b[own] - done]))
+            if 2 * done > size.max(initial=0):
+                break
+            level = np.minimum(level[: len(level) - done], level[done:])
+            done *= 2
+        out[pair] = least & 0xFFFFFFFF
         return out
 
-    @staticmethod
-    def _ranks(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(key)
-        s = key[order]
-        rank = np.empty(len(key), np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], s[1:] != s[:-1]])) if len(key) else 0
-        return rank, order
-
-    def back(self, rank: np.ndarray) -> np.ndarray:
-        """The ranks of the suffixes that begin one symbol earlier (LF)."""
+    def step(self, rank: np.ndarray, at: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From the suffix that best matches what follows, to the one that best matches symbol and what follows: its rank
+        and its place (-1: the symbol occurs nowhere). Where the suffix's own run has another symbol, the match goes on
+        from the end of the symbol's last run or from the start of its next one, whichever shares more. After a place of -1
+        (as before the first symbol) nothing is matched yet, and any suffix, here the first, will do."""
+        at = np.where(at < 0, self.at_first[0], at)
         run = np.searchsorted(self.first, rank, "right") - 1
-        return self.to[run] + rank - self.first[run]
-
-    def stream(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All texts side by side from their ends: (texts, ranks) of the suffixes of length 1, 2, ... that they have."""
-        rank = np.arange(self.count)  # an end mark's rank is its text's number
-        live = rank
-        for k in range(1, int(self.sizes.max(initial=0)) + 1):
-            keep = self.sizes[live] >= k
-            live, rank = live[keep], self.back(rank[keep])
-            yield live, rank
-
-    def matches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each window of depth bytes: its text, its start in it, and its class (equal for equal windows)."""
-        texts, starts, classes = [], [], []
-        for k, (live, rank) in enumerate(self.stream(), 1):
-            if k >= self.depth:
-                texts.append(live)
-                starts.append(self.sizes[live] - k)
-                classes.append(np.searchsorted(self.thresholds, rank, "right") - 1)
-        if not texts:
-            return (np.zeros(0, np.int64),) * 3
-        return np.concatenate(texts), np.concatenate(starts), np.concatenate(classes)
-
-
-def repeated(texts: list[bytes], doc: np.ndarray, start: np.ndarray, depth: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, from, to) of runs of windows in texts[k] (bytes of doc[k] from start[k]) that begin earlier in another."""
-    index = RunLengthIndex(texts, depth)
-    text, at, kind = index.matches()
-    d, s = doc[text], start[text] + at
-    # Earliest first; the first of each class stays.
-    order = np.lexsort((s, d, kind))
-    keep = np.ones(len(order), bool)
-    keep[order[np.flatnonzero(np.diff(kind[order], prepend=-1))]] = False
-    return spans(d[keep], s[keep], s[keep] + depth)
+        j = np.flatnonzero(self.symbol[run] != symbol)
+        if len(j):
+            many = len(self.by)
+            next_ = np.searchsorted(self.key, symbol[j] * (many + 1) + run[j])
+            after = next_ < many
+            after[after] = self.symbol[self.by[next_[after]]] == symbol[j][after]
+            ahead = next_ > 0
+            ahead[ahead] = self.symbol[self.by[next_[ahead] - 1]] == symbol[j][ahead]
+            back = ahead & (~after | (rank[j] < self.threshold[np.minimum(next_, many - 1)]))
+            on = after & ~back
+            run, rank, at = run.copy(), rank.copy(), at.copy()
+            p, q = self.by[next_[back] - 1], self.by[next_[on]]
+            run[j[back]], rank[j[back]], at[j[back]] = p, self.last[p], self.at_last[p]
+            run[j[on]], rank[j[on]], at[j[on]] = q, self.first[q], self.at_first[q]
+            none = j[~back & ~on]
+        out, place = self.to[run] + rank - self.first[run], at - 1
+        if len(j) and len(none):
+            out[none], place[none] = 0, -1
+        return out, place
+
+    def stream(self, texts: list[bytes], cells: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """Matching statistics of all texts side by side, from their ends: (texts, k, places) for their suffixes of k bytes,
+        each with the place of a longest match among the indexed texts of its cell (-1: not even its first byte)."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        ends = np.cumsum(sizes)
+        flat = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64)
+        base = np.asarray(cells, np.int64) * 257 + 1
+        live = np.flatnonzero(sizes)
+        rank, at = np.zeros(len(live), np.int64), np.full(len(live), -1, np.int64)
+        for k in range(1, int(sizes.max(initial=0)) + 1):
+            keep = sizes[live] >= k
+            live, rank, at = live[keep], rank[keep], at[keep]
+            rank, at = self.step(rank, at, base[live] + flat[ends[live] - k])
+            yield live, k, at
+
+    def windows(self, texts: list[bytes], cells: np.ndarray, depth: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+        """(text, start) of each window of depth (8 or more) bytes that an indexed text of the text's cell holds."""
+        who, start, place = [], [], []
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        for live, k, at in self.stream(texts, cells):
+            if k >= depth:
+                ok = at >= 0
+                ok[ok] = self.left[at[ok]] >= depth
+                who.append(live[ok])
+                start.append(sizes[live[ok]] - k)
+                place.append(at[ok])
+        if not who:
+            return (np.zeros(0, np.int64),) * 2
+        who, start, place = np.concatenate(who), np.concatenate(start), np.concatenate(place)
+        mine = np.frombuffer(b"".join(texts) + b"\0" * 8, np.uint8)
+        here = (np.cumsum(sizes) - sizes)[who] + start
+        words = lambda x: np.ndarray((len(x) - 7,), "<u8", np.ascontiguousarray(x).data, 0, (1,))
+        a, b = words(mine), words(self.body)
+        for shift in [depth - 8, *range(0, depth - 8, 8)]:  # the bytes themselves, eight at a time
+            ok = a[here + shift] == b[place + shift]
+            who, start, place, here = who[ok], start[ok], place[ok], here[ok]
+        return who, start
+
+
+def repeated(texts: list[bytes], group: np.ndarray, doc: np.ndarray, start: np.ndarray, depth: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, from, to) of runs of windows in texts[k] (bytes of doc[k] from start[k]) that begin earlier in another of its group.
+
+    The texts of a group are numbered in order. Two of them are told apart by a highest bit of their numbers: the one
+    with 0 there is earlier. So for each bit, the texts with 0 are indexed and those with 1 are streamed, in cells of
+    the texts that agree in all higher bits.
+    """
+    order = np.lexsort((start, doc, group))
+    head = np.concatenate([[True], group[order][1:] != group[order][:-1]])
+    number = np.empty(len(order), np.int64)
+    at = np.arange(len(order))
+    number[order] = at - np.maximum.accumulate(np.where(head, at, 0))
+    dense = np.empty(len(order), np.int64)
+    dense[order] = np.cumsum(head) - 1
+    found = []
+    for bit in range(int(number.max(initial=0)).bit_length()):
+        _, cell = np.unique(dense << 32 | number >> (bit + 1), return_inverse=True)
+        later = number >> bit & 1
+        wanted = np.bincount(cell, later) > 0
+        old, new = np.flatnonzero((later == 0) & wanted[cell]), np.flatnonzero(later)
+        index = RunLengthIndex([texts[i] for i in old], cell[old])
+        who, where = index.windows([texts[i] for i in new], cell[new], depth)
+        found.append((doc[new[who]], start[new[who]] + where))
+    if not found:
+        return (np.zeros(0, np.int64),) * 3
+    d, s = (np.concatenate([f[k] for f in found]) for k in range(2))
+    return spans(d, s, s + depth)
 
 
 def spans(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -242,12 +332,14 @@ def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(a), pa.array(e), pa.nulls(len(d), pa.int64())], ["doc", "a", "b", "hash"])
 
 
-_CONTEXT = "k long, kind int, doc long, a long, b long, body binary"
+_CONTEXT = "k long, kind int, doc long, a long, b long, hash long, body binary"
 
 
 def _contexts(shards: int):
     """Rows (doc, text, list of (at, span, hash, large)): the contexts' bytes for the shards, or hashes of windows."""
 
+    names = [f.split()[0] for f in _CONTEXT.split(", ")]
+
     @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in c.blocks(batches, limit=SWEEP):
@@ -264,8 +356,8 @@ def _contexts(shards: int):
             lo, hi = (off[row] + first).tolist(), (off[row] + last + WINDOW).tolist()
             whole = data.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array((c.mix(h[i].view(np.uint64)) % np.uint64(shards)).astype(np.int64)), pa.array(np.ones(len(i), np.int32)), pa.array(doc[i]), pa.array(first[i]), pa.array(last[i]), pa.array([whole[lo[j] : hi[j]] for j in i], pa.binary())],
-                ["k", "kind", "doc", "a", "b", "body"],
+                [pa.array((c.mix(h[i].view(np.uint64)) % np.uint64(shards)).astype(np.int64)), pa.array(np.ones(len(i), np.int32)), pa.array(doc[i]), pa.array(first[i]), pa.array(last[i]), pa.array(h[i]), pa.array([whole[lo[j] : hi[j]] for j in i], pa.binary())],
+                names,
             )
             j = np.flatnonzero(large)
             if len(j):
@@ -273,28 +365,28 @@ def _contexts(shards: int):
                 start = np.repeat(first[j], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
                 own = np.repeat(j, size)
                 base = off[row][own] + start
-                w = c.span_hash(data, base, base + WINDOW)
-                order = np.lexsort((start, doc[own], w))
-                head = np.concatenate([[True], w[order][1:] != w[order][:-1]])
+                w, w2 = (c.span_hash(data, base, base + WINDOW, which) for which in range(2))
+                order = np.lexsort((start, doc[own], w2, w))
+                head = np.concatenate([[True], (w[order][1:] != w[order][:-1]) | (w2[order][1:] != w2[order][:-1])])
                 p, q = order[head], order[~head]
                 null = pa.nulls
-                yield pa.RecordBatch.from_arrays([pa.array(w[p].view(np.int64)), pa.array(np.full(len(p), 2, np.int32)), pa.array(doc[own][p]), pa.array(start[p]), pa.array(start[p] + WINDOW), null(len(p), pa.binary())], ["k", "kind", "doc", "a", "b", "body"])
+                yield pa.RecordBatch.from_arrays([pa.array(w[p].view(np.int64)), pa.array(np.full(len(p), 2, np.int32)), pa.array(doc[own][p]), pa.array(start[p]), pa.array(start[p] + WINDOW), pa.array(w2[p].view(np.int64)), null(len(p), pa.binary())], names)
                 d, a, e = spans(doc[own][q], start[q], start[q] + WINDOW)
-                yield pa.RecordBatch.from_arrays([pa.array(c.mix(d.astype(np.uint64) + a.astype(np.uint64)).view(np.int64)), pa.array(np.zeros(len(d), np.int32)), pa.array(d), pa.array(a), pa.array(e), null(len(d), pa.binary())], ["k", "kind", "doc", "a", "b", "body"])
+                yield pa.RecordBatch.from_arrays([pa.array(c.mix(d.astype(np.uint64) + a.astype(np.uint64)).view(np.int64)), pa.array(np.zeros(len(d), np.int32)), pa.array(d), pa.array(a), pa.array(e), null(len(d), pa.int64()), null(len(d), pa.binary())], names)
 
     return run
 
 
 @c.task
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of _contexts sorted by (kind, k, doc, a): covered spans."""
-    now, docs, starts, texts = None, [], [], []
+    """Rows of _contexts sorted by (kind, k, hash, doc, a): covered spans."""
+    now, docs, starts, keys, texts = None, [], [], [], []
     last = None
 
     def flush() -> pa.RecordBatch | None:
         if len(texts) < 2:
             return None
-        return _batch(["doc", "a", "b"], *repeated(texts, np.array(docs, np.int64), np.array(starts, np.int64)))
+        return _batch(["doc", "a", "b"], *repeated(texts, np.array(keys, np.int64), np.array(docs, np.int64), np.array(starts, np.int64)))
 
     for b in batches:
         k, kind, doc, a, e = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
@@ -303,20 +395,21 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(["doc", "a", "b"], doc[zero].astype(np.int64), a[zero], e[zero])
         one = np.flatnonzero(kind == 1)
         if len(one):
-            body = b.column(5)
+            body, h = b.column(6), b.column(5).fill_null(0).to_numpy(zero_copy_only=False)
             for i in one.tolist():
                 if k[i] != now:
                     if (out := flush()) is not None:
                         yield out
-                    now, docs, starts, texts = k[i], [], [], []
+                    now, docs, starts, keys, texts = k[i], [], [], [], []
                 docs.append(doc[i])
+                keys.append(int(h[i]))
                 starts.append(a[i])
                 texts.append(body[i].as_py())
         two = np.flatnonzero(kind == 2)
         if len(two):
-            w = k[two]
-            again = np.concatenate([[last is not None and w[0] == last], w[1:] == w[:-1]])
-            last = w[-1]
+            w, w2 = k[two], b.column(5).take(pa.array(two)).to_numpy(zero_copy_only=False)
+            again = np.concatenate([[last == (w[0], w2[0])], (w[1:] == w[:-1]) & (w2[1:] == w2[:-1])])
+            last = w[-1], w2[-1]
             if again.any():
                 yield _batch(["doc", "a", "b"], *spans(doc[two][again], a[two][again], e[two][again]))
     if (out := flush()) is not None:
@@ -372,7 +465,7 @@ def covered(docs: DataFrame, group: int = GROUP) -> DataFrame:
     shards = max(1, need.count() * 135 // SHARD_BYTES)
     lists = need.join(large, "hash", "left").groupBy("doc").agg(F.collect_list(F.struct(F.col("a").alias("at"), F.col("b").alias("span"), "hash", F.coalesce("large", F.lit(False)).alias("large"))).alias("need"))
     context = docs.select("doc", "text").join(lists, "doc").select("doc", "text", "need").mapInArrow(_contexts(shards), _CONTEXT)
-    more = context.repartition(n, "k").sortWithinPartitions("kind", "k", "doc", "a").mapInArrow(_shards, "doc long, a long, b long")
+    more = context.repartition(n, "k").sortWithinPartitions("kind", "k", "hash", "doc", "a").mapInArrow(_shards, "doc long, a long, b long")
     return found.where("hash IS NULL").select("doc", "a", "b").unionByName(more)
 
 

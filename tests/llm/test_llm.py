@@ -386,16 +386,27 @@ def test_texts_beyond_a_sweep(spark, monkeypatch):
         assert {(int(h), int(p) + int(place[0])) for h, p in zip(a["hash"], a["at"], strict=True)} <= {(int(h), int(p)) for h, p in zip(b["hash"], b["at"], strict=True)}
 
 
-def test_run_length_index_streams_its_texts():
-    rng = np.random.default_rng(7)
-    texts = [bytes(rng.choice(list(b"ab"), 30).tolist()) for _ in range(9)] + [b"a" * 30] * 2
-    index = runindex.RunLengthIndex(texts, 5)
-    text, at, kind = index.matches()
-    by = defaultdict(set)
-    for t, s, k in zip(text.tolist(), at.tolist(), kind.tolist(), strict=True):
-        by[k].add(texts[t][s : s + 5])
-    assert len(text) == len(texts) * 26 and all(len(v) == 1 for v in by.values()) and len(by) == len({x for v in by.values() for x in v})
-    assert len(index.first) < sum(len(t) + 1 for t in texts)
+@given(st.lists(st.tuples(st.text(alphabet="ab", max_size=24), st.integers(0, 2)), min_size=1, max_size=12), st.lists(st.tuples(st.text(alphabet="abc", max_size=24), st.integers(0, 3)), min_size=1, max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_matching_statistics_point_to_a_longest_match(own, asked):
+    texts, cells = [t.encode() for t, _ in own], np.array([k for _, k in own])
+    index = runindex.RunLengthIndex(texts, cells)
+    joined, cell_at = b"\0".join(texts) + b"\0", np.repeat(cells, [len(t) + 1 for t in texts])
+    shared = lambda p, q: next((i for i, (x, y) in enumerate(zip(p, q)) if x != y), min(len(p), len(q)))  # noqa: E731, B905
+    asks = [t.encode() for t, _ in asked]
+    for live, k, at in index.stream(asks, np.array([x for _, x in asked])):
+        for q, place in zip(live.tolist(), at.tolist(), strict=True):
+            p = asks[q][len(asks[q]) - k :]
+            most = max((shared(p, joined[i:]) for i in range(len(joined)) if cell_at[i] == asked[q][1]), default=0)
+            assert (shared(p, joined[place:]) if place >= 0 else 0) == most and (place < 0 or cell_at[place] == asked[q][1])
+
+
+def test_runs_are_fewer_than_symbols_in_repetitive_texts():
+    text = bytes(np.random.default_rng(7).choice(list(b"abcdefgh"), 150).tolist())
+    index = runindex.RunLengthIndex([text] * 40, np.zeros(40, np.int64))
+    assert len(index.first) <= 151 + 40 < 40 * 151
+    who, start = index.windows([text[20:140], b"x" * 120], np.zeros(2, np.int64))
+    assert set(zip(who.tolist(), start.tolist(), strict=True)) == {(0, i) for i in range(21)}
 
 
 # 9 secrets
