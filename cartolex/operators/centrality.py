@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from .. import scratch
 from ..functions import columns as C
-from ..graph import PropertyGraph, collapse_edges
+from ..graph import PropertyGraph, collapse_edges, endpoints_in
 from . import fixpoint, kernels
 
+
 def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """id, degree_in, degree_out, degree_centrality; a self-loop counts on both sides. edges: collapsed."""
     ends = edges.select(F.col("source").alias("id"), F.lit(0).alias("i"), F.lit(1).alias("o")).unionByName(edges.select(F.col("target").alias("id"), F.lit(1).alias("i"), F.lit(0).alias("o")))
@@ -41,8 +42,31 @@ def _split(g: pd.DataFrame) -> tuple[list[str], list[tuple[str, str, float]], di
     return list(n["source"]), [(s, t, w) for s, t, w in zip(e["source"], e["target"], e["weight"], strict=True) if s in known and t in known], difficulty
 
 
+def _ranks_by_rounds(nodes: DataFrame, edges: DataFrame, damping: float, rounds: int, tol: float) -> tuple[DataFrame, bool]:
+    """id, x as kernels.pagerank() has them, by joins; and whether they settled."""
+    n = nodes.count()
+    known = endpoints_in(edges, nodes)
+    total = known.groupBy("source").agg(F.sum("weight").alias("total"))
+    share = scratch.settle(known.join(total, "source").where("total > 0").select("source", "target", (F.col("weight") / F.col("total")).alias("share")), "shares")
+    senders = scratch.settle(share.select(F.col("source").alias("id")).distinct(), "senders")
+    x, settled = scratch.settle(nodes.select("id", F.lit(1.0 / max(n, 1)).alias("x"), F.lit(0.0).alias("was")), "rank"), n == 0
+    for _ in range(rounds if n else 0):
+        loose = x.join(senders, "id", "left_anti").agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0] / n
+        got = share.join(x.withColumnRenamed("id", "source"), "source").groupBy(F.col("target").alias("id")).agg(F.sum(F.col("share") * F.col("x")).alias("got"))
+        new = x.select("id", F.col("x").alias("was")).join(got, "id", "left").select("id", (damping * (F.coalesce("got", F.lit(0.0)) + loose) + (1 - damping) / n).alias("x"), "was")
+        new = scratch.settle(new, "rank")
+        scratch.drop(x)
+        x = new
+        if x.agg(F.sum(F.abs(F.col("x") - F.col("was")))).first()[0] < n * tol:
+            settled = True
+            break
+    scratch.drop(share, senders)
+    return x.select("id", "x"), settled
+
+
 def pagerank(nodes: DataFrame, edges: DataFrame, name: str = "pagerank", damping: float = 0.85, rounds: int = 100, tol: float = 1e-6, small: bool | None = None) -> DataFrame:
-    """id and the rank. If it doesn't converge in time, a tolerance of 1e-3 is tried. edges: collapsed."""
+    """id and the rank. Edges with an end that is no node count for nothing. If the ranks don't settle in time, twice as
+    many rounds with a tolerance of 1e-3 are taken. edges: collapsed. Both strategies follow the same rules."""
     if fixpoint.is_small(nodes, edges) if small is None else small:
 
         def kernel(g: pd.DataFrame) -> pd.DataFrame:
@@ -53,32 +77,15 @@ def pagerank(nodes: DataFrame, edges: DataFrame, name: str = "pagerank", damping
             return pd.DataFrame({"id": list(ranks), name: list(ranks.values())})
 
         return _gathered(nodes, edges).groupBy("one").applyInPandas(kernel, f"id string, `{name}` double")
-    n = nodes.count()
-    total = edges.groupBy("source").agg(F.sum("weight").alias("total"))
-    share = scratch.settle(edges.join(total, "source").where("total > 0").select("source", "target", (F.col("weight") / F.col("total")).alias("share")), "shares")
-    senders = scratch.settle(share.select(F.col("source").alias("id")).distinct(), "senders")
-    x = scratch.settle(nodes.select("id", F.lit(1.0 / n).alias("x")), "rank")
-    for _ in range(rounds):
-        loose = x.join(senders, "id", "left_anti").agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0] / n
-        got = share.join(x.withColumnRenamed("id", "source"), "source").groupBy(F.col("target").alias("id")).agg(F.sum(F.col("share") * F.col("x")).alias("got"))
-        new = x.join(got, "id", "left").select("id", (damping * (F.coalesce("got", F.lit(0.0)) + loose) + (1 - damping) / n).alias("x"), F.col("x").alias("was"))
-        new = scratch.settle(new, "rank")
-        change = new.agg(F.sum(F.abs(F.col("x") - F.col("was")))).first()[0]
-        x = new.select("id", "x")
-        if change < n * tol:
-            break
-    return x.withColumnRenamed("x", name)
+    ranks, settled = _ranks_by_rounds(nodes, edges, damping, rounds, tol)
+    if not settled:
+        ranks, _ = _ranks_by_rounds(nodes, edges, damping, 2 * rounds, 1e-3)
+    return ranks.withColumnRenamed("x", name)
 
 
 def pagerank_rounds(nodes: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
-    """id, pagerank after exactly so many rounds (no test of convergence), for comparison with SQL."""
-
-    def kernel(g: pd.DataFrame) -> pd.DataFrame:
-        ids, links, _ = _split(g)
-        ranks, _ = kernels.pagerank(ids, links, rounds=rounds, tol=-1.0)
-        return pd.DataFrame({"id": list(ranks), "pagerank": list(ranks.values())})
-
-    return _gathered(nodes, edges).groupBy("one").applyInPandas(kernel, "id string, pagerank double")
+    """id, pagerank after exactly so many rounds (no test of convergence), by the strategy for large graphs."""
+    return _ranks_by_rounds(nodes, edges, 0.85, rounds, -1.0)[0].withColumnRenamed("x", "pagerank")
 
 
 def educational(edges: DataFrame, types: tuple[str, ...] = S.EDUCATIONAL, fold_case: bool = True) -> DataFrame:
@@ -90,21 +97,28 @@ def educational_importance(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return pagerank(nodes, educational(edges), "educational_importance")
 
 
-def path_metrics(nodes: DataFrame, edges: DataFrame, tasks: int = 8) -> DataFrame:
+#: Edges up to which each task holds the adjacency (some 150 bytes each); beyond it paths are found by joins.
+BROADCAST_EDGES = 500_000
+#: Rows of (source, node) that a batch of sources has at most, where paths are found by joins.
+BATCH_ROWS = 200_000_000
+
+
+def path_metrics(nodes: DataFrame, edges: DataFrame, tasks: int = 8, small: bool | None = None) -> DataFrame:
     """id, betweenness_centrality, out-closeness by weighted shortest paths of length 1 / weight. edges: collapsed.
 
-    Sources are dealt to tasks, each of which holds the adjacency (a broadcast whose size is checked: at most fixpoint.SMALL
-    edges) and searches from its own; their dependencies are summed by node. A larger graph is refused, because exact
-    all-sources paths take nodes times edges.
+    Sources are dealt to tasks, each of which holds the adjacency (a broadcast whose size is checked: BROADCAST_EDGES at
+    most) and searches from its own; their dependencies are summed by node. The paths of larger graphs are found by
+    joins, some sources at a time. Either way the result is exact, and takes nodes times edges.
     """
+    length = edges.select("source", "target", C.inverse_weight(F.col("weight")).alias("length"), "_ord")
+    if not (edges.limit(BROADCAST_EDGES + 1).count() <= BROADCAST_EDGES if small is None else small):
+        return _paths_by_rounds(nodes, length)
     spark = nodes.sparkSession
-    if not fixpoint.is_small(nodes, edges):
-        raise ValueError(f"exact shortest paths from all sources are for graphs of up to {fixpoint.SMALL} edges; use a subgraph (top_nodes)")
-    rows = edges.select("source", "target", C.inverse_weight(F.col("weight")).alias("length"), "_ord").orderBy("_ord").toPandas()
+    rows = length.orderBy("_ord").toPandas()
     adjacency: dict[str, list[tuple[str, float]]] = defaultdict(list)
-    for s, t, length in zip(rows["source"], rows["target"], rows["length"], strict=True):
-        if length != float("inf"):
-            adjacency[s].append((t, length))
+    for s, t, far in zip(rows["source"], rows["target"], rows["length"], strict=True):
+        if far != float("inf"):
+            adjacency[s].append((t, far))
     # Edges without a finite length reach their target at infinity, which makes a source's closeness 0.
     endless = set(rows.loc[rows["length"] == float("inf"), "source"])
     shared = spark.sparkContext.broadcast((dict(adjacency), endless))
@@ -128,6 +142,52 @@ def path_metrics(nodes: DataFrame, edges: DataFrame, tasks: int = 8) -> DataFram
     return found.groupBy("id").agg((F.sum("dependency") * scale).alias("betweenness_centrality"), F.sum("near").alias("out-closeness")).join(nodes.select("id"), "id")
 
 
+def _paths_by_rounds(nodes: DataFrame, lengths: DataFrame) -> DataFrame:
+    """path_metrics() by joins: distances by rounds of relaxation, then the number of shortest paths outwards and
+    dependencies inwards along the edges that lie on them, as many rounds as those have edges in a row."""
+    n = nodes.count()
+    links = scratch.settle(lengths.where(F.col("length") < float("inf")).select(F.col("source").alias("u"), F.col("target").alias("v"), "length"), "links")
+    endless = scratch.settle(lengths.where(F.col("length") == float("inf")).select(F.col("source").alias("v")).distinct(), "endless")
+    batches = max(1, -(-n * n // BATCH_ROWS))
+    done: list[DataFrame] = []
+    for k in range(batches):
+        own = nodes.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == k).select(F.col("id").alias("s"), F.col("id").alias("v"), F.lit(0.0).alias("d"))
+        far = front = scratch.settle(own, "far")
+        while not front.isEmpty():
+            step = front.withColumnRenamed("v", "u").join(links, "u").groupBy("s", "v").agg(F.min(F.col("d") + F.col("length")).alias("new"))
+            front = scratch.settle(step.join(far, ["s", "v"], "left").where("d IS NULL OR new < d").select("s", "v", F.col("new").alias("d")), "front")
+            far = scratch.settle(far.join(front.select("s", "v"), ["s", "v"], "left_anti").unionByName(front), "far")
+        tails = far.withColumnsRenamed({"v": "u", "d": "du"})
+        tight = scratch.settle(tails.join(links, "u").join(far, ["s", "v"]).where("du + length = d AND v <> s").select("s", "u", "v"), "tight")
+        first = far.where("v = s").select("s", "v", F.lit(1.0).alias("paths"))
+        paths, rounds = scratch.settle(first, "paths"), 0
+        while True:
+            new = tight.join(paths.withColumnRenamed("v", "u"), ["s", "u"]).groupBy("s", "v").agg(F.sum("paths").alias("paths"))
+            new = scratch.settle(new.unionByName(first), "paths")
+            same = new.join(paths.withColumnRenamed("paths", "was"), ["s", "v"], "left").where("was IS NULL OR was <> paths").isEmpty()
+            paths = new
+            if same:
+                break
+            rounds += 1
+        part = tight.join(paths.withColumnsRenamed({"v": "u", "paths": "pu"}), ["s", "u"]).join(paths, ["s", "v"]).select("s", "u", "v", (F.col("pu") / F.col("paths")).alias("part"))
+        part = scratch.settle(part, "parts")
+        share = scratch.settle(far.select("s", "v", F.lit(0.0).alias("share")), "share")
+        for _ in range(rounds):
+            new = part.join(share, ["s", "v"]).groupBy("s", F.col("u").alias("v")).agg(F.sum(F.col("part") * (1 + F.col("share"))).alias("new"))
+            share = scratch.settle(share.join(new, ["s", "v"], "left").select("s", "v", F.coalesce("new", F.lit(0.0)).alias("share")), "share")
+        total, reached = F.sum("d"), F.count(F.lit(1)) - 1
+        near = far.groupBy("s").agg(F.when(total > 0, reached / total * (reached / F.lit(max(n - 1, 1)))).otherwise(0.0).alias("near"))
+        near = near.join(far.join(endless, "v").select("s").distinct().withColumn("bad", F.lit(True)), "s", "left")
+        rows = share.where("v <> s").select(F.col("v").alias("id"), F.col("share").alias("dependency"), F.lit(0.0).alias("near"))
+        rows = rows.unionByName(near.select(F.col("s").alias("id"), F.lit(0.0).alias("dependency"), F.when(F.col("bad"), 0.0).otherwise(F.col("near")).alias("near")))
+        done.append(scratch.settle(rows.groupBy("id").agg(F.sum("dependency").alias("dependency"), F.sum("near").alias("near")), "batch"))
+    found = done[0]
+    for more in done[1:]:
+        found = found.unionByName(more)
+    scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 0.0
+    return nodes.select("id").join(found, "id").groupBy("id").agg((F.sum("dependency") * scale).alias("betweenness_centrality"), F.sum("near").alias("out-closeness"))
+
+
 def prerequisite_metrics(nodes: DataFrame, edges: DataFrame, small: bool | None = None) -> DataFrame:
     """id, prerequisite_depth, learning_effort over PREREQUISITE edges (any case), with components as units."""
     own = nodes.select("_ord", "id", F.coalesce("difficulty", F.lit(S.DIFFICULTY)).alias("difficulty"))

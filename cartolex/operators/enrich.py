@@ -189,15 +189,13 @@ class _Plan:
 def demo_path(graph: PropertyGraph, strategy: int = 1, most: int = 15) -> DataFrame:
     """seq, id of a tour: 1 optimal, 2 showcase, 3 critical (others: optimal).
 
-    Showcase is windows alone. The other two are greedy and order-dependent; they run in one task over the nodes and
-    collapsed edges, which must fit there (fixpoint.SMALL edges; take top_nodes() of a larger graph first).
+    Showcase is windows alone. The other two are greedy and order-dependent; they run in one task over the ids and
+    metrics of the nodes and the ends of the collapsed edges (some 300 bytes each). A tour has `most` nodes at most.
     """
     nodes = graph.nodes
     if strategy == 2 and nodes.select(F.coalesce("cluster_id", F.lit(0))).distinct().count() > 1:
         return showcase(nodes, most)
     edges = collapse_edges(graph.edges)
-    if not fixpoint.is_small(nodes, edges):
-        raise ValueError(f"tours are planned on graphs of up to {fixpoint.SMALL} edges; take top_nodes() first")
     metrics = ["prerequisite_depth", "educational_importance", "learning_effort", "pagerank", "bridge_score", "betweenness_centrality"]
     have = [m for m in metrics if m in nodes.columns]
     n = nodes.select("_ord", F.col("id").alias("source"), F.lit(None).cast("string").alias("target"), F.lit(None).cast("string").alias("type"), *[F.col(m).cast("double").alias(m) for m in have])
@@ -217,6 +215,14 @@ def shortest_path(edges: DataFrame, start: str, goal: str) -> DataFrame:
     """seq, id along a path of the fewest edges; of equal parents the smallest id. No rows if there is none."""
     spark = edges.sparkSession
     seen = scratch.settle(fixpoint.breadth_first(edges, spark.createDataFrame([(start,)], "id string")), "bfs")
+    if fixpoint.is_small(seen):
+
+        def follow(g: pd.DataFrame) -> pd.DataFrame:
+            parent = dict(zip(g["id"], g["parent"].where(g["parent"].notna(), None), strict=True))
+            path = kernels.walk(parent, goal) if goal in parent else []
+            return pd.DataFrame({"seq": range(len(path)), "id": path})
+
+        return seen.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(follow, "seq int, id string")
     path, at = [], goal
     while at is not None:  # one lookup for each step of the path
         row = seen.where(F.col("id") == at).select("parent").first()
@@ -258,7 +264,7 @@ def least_costs(costs: DataFrame, start: str, small: bool | None = None) -> Data
             out = defaultdict(list)
             for s, t, c in zip(g["source"], g["target"], g["cost"], strict=True):
                 out[s].append((t, c))
-            found, _ = kernels.from_source(start, out)
+            found = kernels.distances(start, out)
             return pd.DataFrame({"id": list(found), "cost": list(found.values())})
 
         seed = spark.createDataFrame([(start, start, 0.0)], "source string, target string, cost double")

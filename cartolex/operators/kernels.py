@@ -30,43 +30,39 @@ def pagerank(nodes: list[str], edges: list[tuple[str, str, float]], damping: flo
     return x, False
 
 
+def distances(source: str, out: dict[str, list[tuple[str, float]]]) -> dict[str, float]:
+    """The least sum of lengths (none below 0) from a source to each node that it reaches, nearest first."""
+    final: dict[str, float] = {}
+    open_ = [(0.0, source)]
+    while open_:
+        d, v = heapq.heappop(open_)
+        if v not in final:
+            final[v] = d
+            for w, length in out.get(v, ()):
+                if w not in final:
+                    heapq.heappush(open_, (d + length, w))
+    return final
+
+
 def from_source(source: str, out: dict[str, list[tuple[str, float]]]) -> tuple[dict[str, float], dict[str, float]]:
     """Distances from a source, and each node's share of the shortest paths from it to others (its dependency).
 
-    Path lengths are compared as they add up, so equal sums of equal steps tie.
+    An edge is on a shortest path where its length is what its ends' distances differ by, as they add up; so the paths to
+    a node are those to the tails of such edges, counted outwards, and dependencies flow back along them.
     """
-    distance: dict[str, float] = {}
-    paths: dict[str, float] = defaultdict(float, {source: 1.0})
-    before: dict[str, list[str]] = defaultdict(list)
-    order: list[str] = []
-    seen = {source: 0.0}
-    queue: list[tuple[float, int, str, str]] = [(0.0, 0, source, source)]
-    n = 1
-    while queue:
-        d, _, parent, v = heapq.heappop(queue)
-        if v in distance:
-            continue
-        if v != source:
-            paths[v] += paths[parent]
-        order.append(v)
-        distance[v] = d
-        for w, length in out.get(v, ()):
-            e = d + length
-            if w not in distance and (w not in seen or e < seen[w]):
-                seen[w] = e
-                heapq.heappush(queue, (e, n, v, w))
-                n += 1
-                paths[w] = 0.0
-                before[w] = [v]
-            elif e == seen.get(w) and w != source:
-                paths[w] += paths[v]
-                before[w].append(v)
-    share: dict[str, float] = defaultdict(float)
-    for w in reversed(order):
-        for v in before[w]:
-            share[v] += paths[v] / paths[w] * (1 + share[w])
-    share.pop(source, None)
-    return distance, share
+    far = distances(source, out)
+    place = {v: k for k, v in enumerate(far)}
+    tight = [(v, w) for v in far for w, length in out.get(v, ()) if w != source and place[v] < place[w] and far[v] + length == far[w]]
+    paths = dict.fromkeys(far, 0.0)
+    paths[source] = 1.0
+    for v, w in tight:  # tails come in the order of their distances
+        paths[w] += paths[v]
+    share = dict.fromkeys(far, 0.0)
+    # A head is complete before any edge into it is used: edges go by their heads, farthest first.
+    for v, w in sorted(tight, key=lambda e: -place[e[1]]):
+        share[v] += paths[v] * (1 + share[w]) / paths[w]
+    del share[source]
+    return far, share
 
 
 def closeness(distance: dict[str, float], n: int) -> float:
@@ -157,8 +153,7 @@ def communities(nodes: list[str], edges: list[tuple[str, str, float]], resolutio
         own = {v: v for v in units}
         degree = {v: sum(links[v].values()) + 2 * loops[v] for v in units}
         total = dict(degree)
-        moved_any = moved = True
-        first = True
+        moved = True
         while moved:
             moved = False
             for v in units:
@@ -176,10 +171,6 @@ def communities(nodes: list[str], edges: list[tuple[str, str, float]], resolutio
                 if best != home:
                     own[v] = best
                     moved = True
-            moved_any = moved if first else moved_any
-            first = False
-            if not moved:
-                break
         if len(set(own.values())) == len(units):
             break
         label = {v: own[k] for v, k in label.items()}
@@ -220,21 +211,3 @@ def walk(parent: dict[str, str | None], goal: str) -> list[str]:
     while (v := parent[path[-1]]) is not None:
         path.append(v)
     return path[::-1]
-
-
-def cheapest(start: str, goal: str, out: dict[str, list[tuple[str, float]]]) -> tuple[list[str], float] | None:
-    """The path of least cost, each edge's cost being given; of equal ones the first found."""
-    best, parent, done = {start: 0.0}, {start: None}, set()
-    queue = [(0.0, start)]
-    while queue:
-        d, v = heapq.heappop(queue)
-        if v in done:
-            continue
-        done.add(v)
-        if v == goal:
-            return walk(parent, goal), d
-        for w, c in out.get(v, ()):
-            if w not in done and d + c < best.get(w, float("inf")):
-                best[w], parent[w] = d + c, v
-                heapq.heappush(queue, (d + c, w))
-    return None

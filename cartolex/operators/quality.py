@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .. import scratch
 from ..graph import PropertyGraph
 from . import relational
 
@@ -148,12 +149,13 @@ def coverage(nodes: DataFrame) -> DataFrame:
 def outliers_iqr(nodes: DataFrame, metrics: list[str], factor: float = 1.5) -> DataFrame:
     """metric, id, value beyond the fences; quartiles are the sorted values at n // 4 and 3n // 4, from four values on.
 
-    The values of one metric meet in its own group; only numbers do.
+    All values are sorted and numbered over the table, so that a quartile is the row of a number.
     """
     long = relational.unpivot(nodes, "id", metrics)
-    s = long.groupBy("metric").agg(F.array_sort(F.collect_list("value")).alias("v")).where(F.size("v") >= 4)
-    n = F.size("v")
-    q = s.select("metric", F.element_at("v", F.floor(n / 4).cast("int") + 1).alias("q1"), F.element_at("v", F.floor(3 * n / 4).cast("int") + 1).alias("q3"))
+    sorted_ = scratch.settle(scratch.in_order(long.select("metric", "value"), "metric", "value"), "values")
+    s = sorted_.groupBy("metric").agg(F.min("__n").alias("first"), F.count(F.lit(1)).alias("n")).where("n >= 4")
+    at = lambda k: F.col("__n") == F.col("first") + F.floor(k * F.col("n") / 4)
+    q = sorted_.join(F.broadcast(s), "metric").where(at(1) | at(3)).groupBy("metric").agg(F.min(F.when(at(1), F.col("value"))).alias("q1"), F.min(F.when(at(3), F.col("value"))).alias("q3"))  # s: one row per metric
     iqr = F.col("q3") - F.col("q1")
     return long.join(F.broadcast(q), "metric").where((F.col("value") < F.col("q1") - factor * iqr) | (F.col("value") > F.col("q3") + factor * iqr)).select("metric", "id", "value")  # one row per metric
 
@@ -165,13 +167,14 @@ def outliers_sigma(nodes: DataFrame, metrics: list[str], factor: float = 3.0) ->
 
 
 def compare(actual: DataFrame, expected: DataFrame, metrics: list[str], tolerance: float = 0.01, at_zero: float = 0.001) -> DataFrame:
-    """graph, id, metric, expected, actual, status (pass, fail, missing): values within a relative tolerance, or an absolute
-    one where 0 is expected. Both: graph, id and metric columns."""
+    """graph, id, metric, expected, actual, status (pass, fail, missing, unexpected): values within a relative tolerance, or
+    an absolute one where 0 is expected; missing is what only expected has, unexpected what only actual has. Both: graph,
+    id and metric columns."""
     key = F.struct("graph", "id").alias("k")
     long = lambda df, name: relational.unpivot(df.withColumn("k", key), "k", [m for m in metrics if m in df.columns]).select("k.graph", "k.id", "metric", F.col("value").alias(name))
-    both = long(expected, "expected").join(long(actual, "actual"), ["graph", "id", "metric"], "left")
+    both = long(expected, "expected").join(long(actual, "actual"), ["graph", "id", "metric"], "full")
     near = F.when(F.col("expected") == 0, F.abs("actual") <= at_zero).otherwise(F.abs(F.col("actual") - F.col("expected")) <= tolerance * F.abs("expected"))
-    return both.withColumn("status", F.when(F.col("actual").isNull(), "missing").when(near, "pass").otherwise("fail"))
+    return both.withColumn("status", F.when(F.col("actual").isNull(), "missing").when(F.col("expected").isNull(), "unexpected").when(near, "pass").otherwise("fail"))
 
 
 def validation_matrix(compared: DataFrame, metrics: list[str]) -> DataFrame:

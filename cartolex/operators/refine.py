@@ -23,7 +23,7 @@ def model_edges(responses: DataFrame, candidates: DataFrame) -> DataFrame:
     ok = ok.join(candidates.select("source_id", F.col("target_id").alias("target")).distinct(), ["source_id", "target"], "left_semi")
     w = F.coalesce(F.col("weight").try_cast("double"), F.lit(S.WEIGHT_MERGE))
     weight = F.when((w >= 0) & (w <= 1), w).otherwise(F.lit(S.WEIGHT_MERGE))
-    return ok.select((F.col("seq") * 100_000 + F.col("pos")).alias("seq"), "source", "target", "type", weight.alias("weight"), F.coalesce("conditions", F.lit("")).alias("conditions"))
+    return ok.select((F.shiftleft(F.col("seq").cast("long"), 31) + F.col("pos")).alias("seq"), "source", "target", "type", weight.alias("weight"), F.coalesce("conditions", F.lit("")).alias("conditions"))
 
 
 def _merge(g: pd.DataFrame) -> pd.DataFrame:

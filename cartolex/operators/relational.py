@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .. import scratch
 from ..functions import columns as C
 from ..graph import endpoints_in, first_wins
 
@@ -68,14 +69,13 @@ def course_sequence(nodes: DataFrame) -> DataFrame:
     at = F.regexp_extract("id", r":c:(\d+)$", 1)
     own = nodes.where((F.col("type") == "Chunk") & (at != "")).withColumn("position", at.cast("int"))
     cluster = F.coalesce("cluster_id", F.lit(0)) if "cluster_id" in nodes.columns else F.lit(0)
-    # One course fits a window; its numbers are needed one after the other.
-    return own.select(F.row_number().over(W.orderBy("position", "_ord")).alias("seq"), "id", "position", cluster.alias("cluster_id"))
+    return scratch.in_order(own, "position", "_ord").select((F.col("__n") + 1).cast("int").alias("seq"), "id", "position", cluster.alias("cluster_id"))
 
 
 def ordered_nodes(nodes: DataFrame) -> DataFrame:
     """place: Concepts by id, then the others in their order."""
     concept = F.col("type") == "Concept"
-    return nodes.withColumn("place", F.row_number().over(W.orderBy(~concept, F.when(concept, F.col("id")), "_ord")))
+    return scratch.in_order(nodes, ~concept, F.when(concept, F.col("id")), "_ord").withColumn("place", (F.col("__n") + 1).cast("int")).drop("__n")
 
 
 def search(nodes: DataFrame, query: str, types: tuple[str, ...] = S.NODE_TYPES) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..graph import endpoints_in, first_wins
+from .. import scratch
 from . import fixpoint, relational
 
 #: Vectors in a block: two blocks and their products are what a task holds.
@@ -53,7 +54,7 @@ def nearest(vectors: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
 
 def numbered(nodes: DataFrame) -> DataFrame:
     """nodes with i: their place by (position, id), from 0."""
-    return nodes.withColumn("position", C.position_or_fail(F.col("id"))).withColumn("i", F.row_number().over(W.orderBy("position", "id")).cast("long") - 1)
+    return scratch.in_order(nodes.withColumn("position", C.position_or_fail(F.col("id"))), "position", "id").withColumnRenamed("__n", "i")
 
 
 def duplicate_pairs(nodes: DataFrame, k: int, threshold: float, least_ratio: float) -> DataFrame:

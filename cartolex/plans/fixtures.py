@@ -67,19 +67,14 @@ edges AS (SELECT (s * 25 + t)::BIGINT AS _ord, 'n:c:' || s AS source, 'n:c:' ||
 """
 
 
-def purchases(spark: SparkSession, sf_dir: str, every: int | None = 40) -> PropertyGraph:
-    """Parts as nodes; an edge from each line's part to that of the next line of its order, where both keys' remainder allows it.
-
-    Edges are those with (from + to) divisible by `every`, which leaves a graph of many components; None takes all.
-    """
+def purchases(spark: SparkSession, sf_dir: str) -> PropertyGraph:
+    """Parts as nodes; an edge from each line's part to that of the next line of its order."""
     t = lambda n: table(spark, sf_dir, n)
     k = F.col("p_partkey")
     nodes = t("part").select(k.cast("long").alias("_ord"), F.concat(F.lit("p:c:"), k).alias("id"), F.element_at(F.array(*map(F.lit, S.NODE_TYPES)), (k % 3 + 1).cast("int")).alias("type"), F.col("p_name").alias("text"), (k % 5 + 1).cast("int").alias("difficulty"))
     own = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
     steps = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey").withColumn("next", F.lead("l_partkey").over(own))
     steps = steps.where("next IS NOT NULL AND next <> l_partkey")
-    if every is not None:
-        steps = steps.where((F.col("l_partkey") + F.col("next")) % every == 0)
     pairs = steps.groupBy(F.col("l_partkey").alias("s"), F.col("next").alias("t")).agg(F.count(F.lit(1)).alias("n"))
     edges = pairs.select((F.col("s") * 1_000_000_000 + F.col("t")).alias("_ord"), F.concat(F.lit("p:c:"), "s").alias("source"), F.concat(F.lit("p:c:"), "t").alias("target"), F.lit("PREREQUISITE").alias("type"), (1.0 / (1 + F.col("n"))).alias("weight"))
     return PropertyGraph(nodes, edges)
@@ -89,7 +84,7 @@ PURCHASES_SQL = """
 nodes AS (SELECT p_partkey AS _ord, 'p:c:' || p_partkey AS id, ['Chunk','Concept','Assessment'][p_partkey % 3 + 1] AS type, p_name AS text, (p_partkey % 5 + 1)::INTEGER AS difficulty FROM part),
 steps AS (SELECT l_partkey AS s, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS t FROM lineitem),
 edges AS (SELECT s * 1000000000 + t AS _ord, 'p:c:' || s AS source, 'p:c:' || t AS target, 'PREREQUISITE' AS type, 1.0::DOUBLE / (1 + count(*)) AS weight
-  FROM steps WHERE t IS NOT NULL AND s <> t AND (s + t) % 40 = 0 GROUP BY s, t)
+  FROM steps WHERE t IS NOT NULL AND s <> t GROUP BY s, t)
 """
 
 

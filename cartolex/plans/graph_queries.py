@@ -37,7 +37,7 @@ def q_edu_pagerank_k(spark, d):
 
 @query("q_pagerank")
 def q_pagerank(spark, d):
-    g = purchases(spark, d, None)
+    g = purchases(spark, d)
     return centrality.pagerank(g.nodes, g.collapsed())
 
 
@@ -49,50 +49,42 @@ def q_pagerank_sum(spark, d):
     return a.crossJoin(b)  # one row each
 
 
-#: Least labels by the paths that SQL follows; the graph's components are small.
-REACH = """, l AS (SELECT source AS a, target AS b FROM edges UNION SELECT target, source FROM edges),
-r AS (SELECT id, id AS other FROM nodes UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.other), c AS (SELECT r.id, min(n._ord) AS f FROM r JOIN nodes n ON n.id = r.other GROUP BY 1)"""
-FEW = "WITH RECURSIVE " + PURCHASES_SQL.replace("(s + t) % 40 = 0", "(s + t) % 400 = 0")
+#: Least labels of neighbours, for more rounds than the graph's paths are long.
+REACH = """, l AS (SELECT source AS a, target AS b FROM edges UNION SELECT target, source FROM edges UNION SELECT id, id FROM nodes),
+r AS (SELECT 0 AS k, id, _ord AS f FROM nodes UNION ALL SELECT r.k + 1, l.b, min(r.f) FROM r JOIN l ON l.a = r.id WHERE r.k < 24 GROUP BY r.k, l.b), c AS (SELECT id, f FROM r WHERE k = 24)"""
 
 
-@query("q_components", f"{FEW}{REACH} SELECT id, (dense_rank() OVER (ORDER BY f) - 1)::INTEGER AS component_id FROM c")
+@query("q_components", f"{P}{REACH} SELECT id, (dense_rank() OVER (ORDER BY f) - 1)::INTEGER AS component_id FROM c")
 def q_components(spark, d):
-    g = purchases(spark, d, 400)
+    g = purchases(spark, d)
     return fixpoint.component_ids(g.nodes, g.edges)
 
 
-@query("q_component_sizes", f"{FEW}{REACH} SELECT size, count(*) AS n FROM (SELECT f, count(*) AS size FROM c GROUP BY 1) GROUP BY 1")
+@query("q_component_sizes", f"{P}{REACH} SELECT size, count(*) AS n FROM (SELECT f, count(*) AS size FROM c GROUP BY 1) GROUP BY 1")
 def q_component_sizes(spark, d):
-    g = purchases(spark, d, 400)
+    g = purchases(spark, d)
     sizes = fixpoint.connected_components(g.nodes, g.edges).groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     return sizes.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
 
 
 DEPTH = """, w AS (SELECT id, difficulty::DOUBLE AS effort, 0 AS depth FROM nodes UNION SELECT e.target, w.effort + n.difficulty, w.depth + 1 FROM w JOIN edges e ON e.source = w.id JOIN nodes n ON n.id = e.target)"""
-SHORT = V.replace("SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY 1, 2", "SELECT conv_id, turn, min(text) AS text FROM conversations WHERE turn < 12 GROUP BY 1, 2")
 
 
-def short_dialogue(spark, d) -> PropertyGraph:
-    g = dialogue(spark, d)
-    turn = lambda c: F.split_part(F.col(c), F.lit(":"), F.lit(3)).cast("int") < 12
-    return PropertyGraph(g.nodes.where(turn("id")), g.edges.where(turn("source") & turn("target")))
-
-
-@query("q_depth", f"{SHORT}{DEPTH} SELECT id, max(depth)::INTEGER AS prerequisite_depth FROM w GROUP BY 1")
+@query("q_depth", f"{V}{DEPTH} SELECT id, max(depth)::INTEGER AS prerequisite_depth FROM w GROUP BY 1")
 def q_depth(spark, d):
-    g = short_dialogue(spark, d)
+    g = dialogue(spark, d)
     return centrality.prerequisite_metrics(g.nodes, g.collapsed()).select("id", "prerequisite_depth")
 
 
-@query("q_effort", f"{SHORT}{DEPTH} SELECT id, max(effort) AS learning_effort FROM w GROUP BY 1")
+@query("q_effort", f"{V}{DEPTH} SELECT id, max(effort) AS learning_effort FROM w GROUP BY 1")
 def q_effort(spark, d):
-    g = short_dialogue(spark, d)
+    g = dialogue(spark, d)
     return centrality.prerequisite_metrics(g.nodes, g.collapsed()).select("id", "learning_effort")
 
 
-@query("q_depth_groups", f"{SHORT}{DEPTH}, m AS (SELECT id, max(depth) AS k FROM w GROUP BY 1) SELECT k::INTEGER AS prerequisite_depth, count(*) AS n FROM m GROUP BY 1")
+@query("q_depth_groups", f"{V}{DEPTH}, m AS (SELECT id, max(depth) AS k FROM w GROUP BY 1) SELECT k::INTEGER AS prerequisite_depth, count(*) AS n FROM m GROUP BY 1")
 def q_depth_groups(spark, d):
-    g = short_dialogue(spark, d)
+    g = dialogue(spark, d)
     return centrality.prerequisite_metrics(g.nodes, g.collapsed()).groupBy("prerequisite_depth").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 _own: list[str] = []
 
@@ -26,4 +28,27 @@ def settle(df: DataFrame, name: str = "step") -> DataFrame:
     """df written once and read back, so that a loop's plan stays short and a lost executor costs one step at most."""
     path = f"{folder(df.sparkSession)}/cartolex-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cartolex_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove tables that settle() wrote, once nothing reads them any more."""
+    for df in tables:
+        path = getattr(df, "_cartolex_path", None)
+        if path:
+            jvm, spark = df.sparkSession._jvm, df.sparkSession
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+def in_order(df: DataFrame, *order) -> DataFrame:
+    """df with __n, its rows' numbers from 0 in the order given: a global sort, then each partition's rows after those of
+    the partitions before it. One row a partition meets in one task, never the table."""
+    placed = settle(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("__at", 33)
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
+    before = sizes.select("__part", (F.coalesce(F.sum("__rows").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).alias("__before"))
+    numbered = placed.withColumn("__part", part).join(F.broadcast(before), "__part")  # one row a partition
+    return numbered.withColumn("__n", F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__part", "__before", "__at")

@@ -20,7 +20,7 @@ def concepts_of(responses: DataFrame) -> DataFrame:
     """seq, concept_id, term, definition of each concept in the answers; works on streams too."""
     parsed = responses.select("slice_order", F.from_json(C.cleaned_json(F.col("response")), build.CONCEPT_PATCH).alias("p"))
     each = parsed.select("slice_order", F.posexplode("p.concepts_added.concepts").alias("pos", "c"))
-    return each.select((F.col("slice_order") * 100_000 + F.col("pos")).alias("seq"), "c.concept_id", "c.term", "c.definition")
+    return each.select(build.sequence("slice_order").alias("seq"), "c.concept_id", "c.term", "c.definition")
 
 
 def fold_stream(responses: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
@@ -32,10 +32,10 @@ def fold_stream(responses: DataFrame, table: str, checkpoint: str) -> StreamingQ
     def step(batch: DataFrame, number: int) -> None:
         new = concepts_of(batch)
         if number:
-            old = spark.read.parquet(f"{table}/v{number - 1}").select((F.col("_ord") - (1 << 50)).alias("seq"), "concept_id", "term", "definition")
+            old = spark.read.parquet(f"{table}/v{number - 1}").select((F.col("_ord") - (1 << 62)).alias("seq"), "concept_id", "term", "definition")
             new = old.unionByName(new)
         folded = build.fold_concepts(new)
-        folded.withColumn("_ord", F.when(F.col("_ord") < 0, F.col("_ord") + (1 << 50)).otherwise(F.col("_ord"))).write.mode("overwrite").parquet(f"{table}/v{number}")
+        folded.withColumn("_ord", F.when(F.col("_ord") < 0, F.col("_ord") + (1 << 62)).otherwise(F.col("_ord"))).write.mode("overwrite").parquet(f"{table}/v{number}")
 
     return responses.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
