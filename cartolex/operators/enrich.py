@@ -218,7 +218,7 @@ def shortest_path(edges: DataFrame, start: str, goal: str) -> DataFrame:
     if fixpoint.is_small(seen):
 
         def follow(g: pd.DataFrame) -> pd.DataFrame:
-            parent = dict(zip(g["id"], g["parent"].where(g["parent"].notna(), None), strict=True))
+            parent = {v: p if isinstance(p, str) else None for v, p in zip(g["id"], g["parent"], strict=True)}
             path = kernels.walk(parent, goal) if goal in parent else []
             return pd.DataFrame({"seq": range(len(path)), "id": path})
 
