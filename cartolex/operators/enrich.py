@@ -220,7 +220,7 @@ def shortest_path(edges: DataFrame, start: str, goal: str) -> DataFrame:
         def follow(g: pd.DataFrame) -> pd.DataFrame:
             parent = {v: p if isinstance(p, str) else None for v, p in zip(g["id"], g["parent"], strict=True)}
             path = kernels.walk(parent, goal) if goal in parent else []
-            return pd.DataFrame({"seq": range(len(path)), "id": path})
+            return pd.DataFrame({"seq": list(range(len(path))), "id": pd.Series([str(v) for v in path], dtype=object)})
 
         return seen.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(follow, "seq int, id string")
     path, at = [], goal
