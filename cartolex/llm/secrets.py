@@ -1,9 +1,12 @@
 """Secret scans: base patterns, and a linear-chain conditional random field over tokens.
 
-Tokens are tagged O, B or I (secret begin, inside). Only a token of 8 or more characters with a digit may be B or I, so
-that Viterbi decoding falls into the runs of such tokens: those between are O whatever they score. Features are the
-token's shape and parts, its neighbours, and the file's statistics. The field is trained on a bounded sample whose
-labels are the base patterns' matches; what it finds beyond them is added under the kind crf.
+Tokens are tagged O, B or I (secret begin, inside). Plain words (letters alone, but for a capital at the start, none of
+CUES before them) and tokens of fewer than 8 characters are O as a rule, so that Viterbi decoding falls into the runs of
+the other tokens: those between are O whatever they score. Features are the token's shape and parts, its neighbouring
+words, and the file's statistics. The field is trained on a bounded sample whose labels are the base patterns' matches.
+In training a run's neighbours or its tokens' shapes are hidden at random, so that either must do without the other: so
+the field also finds secrets that no base pattern names or spells. What Viterbi tags beyond the base spans is added under
+the kind crf where each token is a secret's with a probability (marginal) of SURE or more.
 """
 
 from __future__ import annotations
@@ -30,10 +33,15 @@ KINDS = ("assign", "access", "hex", "crf")
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_.@%=-]+|[^\s]")
 DIGIT = re.compile("[0-9]")
-WIDE = re.compile(r"[A-Za-z0-9+/_.@%=-]*[0-9][A-Za-z0-9+/_.@%=-]*")
-SHORT = 8
-#: Documents that the field is trained on, about; hashed features; passes; step.
-SAMPLE, FEATURES, PASSES, STEP, L2 = 6000, 1 << 14, 6, 0.2, 1e-4
+#: A token that is no plain word: it has a digit, a sign within, or a capital after a small letter; 8 characters or more.
+ODD = re.compile(r"(?<![A-Za-z0-9+/_.@%=-])(?=[A-Za-z.-]*(?:[0-9+/_@%=]|[a-z][A-Z]))[A-Za-z0-9+/_.@%=-]{8,}")
+#: Words that announce a secret; tokens of 8 characters or more among the next AHEAD ones are looked at whatever they are.
+CUES = re.compile(r"(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|auth)[ _-]?key)(?![A-Za-z])", re.IGNORECASE)
+AHEAD, SHORT = 4, 8
+#: The least marginal of an added token. Of a token's neighbours, so many on each side count, within so many characters.
+SURE, NEAR, REACH = 0.9, 2, 40
+#: Documents that the field is trained on, about; hashed features; passes; step; share of runs with a part hidden.
+SAMPLE, FEATURES, PASSES, STEP, L2, HIDDEN = 6000, 1 << 14, 6, 0.2, 1e-4, 0.35
 O, B, I = range(3)
 MASK = "[SECRET]"
 
@@ -51,35 +59,58 @@ def _shape(t: str) -> str:
     return re.sub(r"(.)\1+", r"\1", re.sub("[0-9]+", "0", s))[:12]
 
 
-def _hashed(parts: list[str]) -> np.ndarray:
-    return np.array([zlib.crc32(p.encode("utf-8", "surrogatepass")) % FEATURES for p in parts], np.int64)
+def _hashed(own: list[str], around: list[str]) -> np.ndarray:
+    """Features of the token itself in the lower half, of its neighbours in the upper one."""
+    half = FEATURES // 2
+    return np.array([zlib.crc32(p.encode("utf-8", "surrogatepass")) % half for p in own] + [half + zlib.crc32(p.encode("utf-8", "surrogatepass")) % half for p in around], np.int64)
+
+
+def candidates(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, tokens since the last cue, 0 if none is near) of the tokens that may be secrets, in order."""
+    found = {(m.start(), m.end()): 0 for m in ODD.finditer(text)}
+    for cue in CUES.finditer(text):
+        at = cue.end()
+        for k in range(1, AHEAD + 1):
+            m = TOKEN.search(text, at, cue.end() + 200)
+            if m is None:
+                break
+            at = m.end()
+            if m.end() - m.start() >= SHORT and not CUES.fullmatch(m.group()):
+                found[m.start(), m.end()] = k
+    out: list[tuple[int, int, int]] = []
+    for (a, b), k in sorted(found.items()):
+        if out and a < out[-1][1]:
+            continue  # a cue inside a token looks at what is left of it
+        out.append((a, b, k))
+    return out
 
 
 def islands(text: str) -> list[tuple[list[tuple[int, int]], list[np.ndarray]]]:
-    """Runs of tokens that may be secrets: their places and their features."""
-    if not DIGIT.search(text):
+    """Runs of tokens that may be secrets, with white space alone between them: their places and their features."""
+    found = candidates(text)
+    if not found:
         return []
     out: list[tuple[list, list]] = []
     last = -1
-    size = len(text)
-    density = "f:digits%d" % min(9, int(30 * len(DIGIT.findall(text)) / size))
-    length = "f:size%d" % size.bit_length()
-    for m in WIDE.finditer(text):
-        if m.end() - m.start() < SHORT:
-            continue
-        t, a, b = m.group(), m.start(), m.end()
-        before = TOKEN.findall(text[max(0, a - 40) : a])[-2:]
-        after = TOKEN.findall(text[b : b + 40])[:2]
-        letters = sum(ch.isalpha() for ch in t)
-        digits = sum(ch.isdigit() for ch in t)
-        kinds = len(set(t))
-        x = ["bias", "s:" + _shape(t), "p:" + t[:4], "n%d" % min(12, (b - a) // 4), "mix%d" % (4 * digits // (b - a)), "d%d" % (4 * kinds // (b - a)), density, length, f"case{int(t != t.lower())}{int(t != t.upper())}", f"ld{int(letters > 0)}{int(digits > 0)}", "hex%d" % (not t.strip("0123456789abcdef")), "mark" + "".join(sorted(set(t) & set("@./+-_=%")))]
-        x += [f"b{k}:{w.lower()}" for k, w in enumerate(reversed(before))] + [f"a{k}:{w.lower()}" for k, w in enumerate(after)]
+    density = "f:digits%d" % min(9, int(30 * len(DIGIT.findall(text)) / len(text)))
+    length = "f:size%d" % len(text).bit_length()
+    for a, b, cue in found:
+        t = text[a:b]
+        # Neighbours are whole tokens: one that the reach cuts is left out.
+        before = [m.group() for m in TOKEN.finditer(text, max(0, a - REACH), a)]
+        if a > REACH and before and not text[a - REACH - 1].isspace() and not text[a - REACH].isspace():
+            before = before[1:]
+        after = [m.group() for m in TOKEN.finditer(text, b, b + REACH) if m.end() < b + REACH or b + REACH >= len(text)]
+        letters, digits, kinds, n = sum(ch.isalpha() for ch in t), sum(ch.isdigit() for ch in t), len(set(t)), b - a
+        turns = sum(x.isdigit() != y.isdigit() for x, y in zip(t, t[1:], strict=False))
+        own = ["bias", "s:" + _shape(t), "p:" + t[:4], "n%d" % min(12, n // 4), "mix%d" % (4 * digits // n), "d%d" % (4 * kinds // n), "t%d" % (6 * turns // n), density, length]
+        own += [f"case{int(t != t.lower())}{int(t != t.upper())}", f"ld{int(letters > 0)}{int(digits > 0)}", "hex%d" % (not t.strip("0123456789abcdefABCDEF")), "mark" + "".join(sorted(set(t) & set("@./+-_=%")))]
+        around = ["cue%d" % (cue > 0), "cue:%d" % cue] + [f"b{k}:{w.lower()}" for k, w in enumerate(reversed(before[-NEAR:]))] + [f"a{k}:{w.lower()}" for k, w in enumerate(after[:NEAR])]
         if out and text[last:a].isspace():
             out[-1][0].append((a, b))
-            out[-1][1].append(_hashed(x))
+            out[-1][1].append(_hashed(own, around))
         else:
-            out.append(([(a, b)], [_hashed(x)]))
+            out.append(([(a, b)], [_hashed(own, around)]))
         last = b
     return out
 
@@ -133,13 +164,19 @@ class Field:
 
 
 def train(data: list[tuple[list[np.ndarray], list[int]]], seed: int = 5) -> Field:
-    """By stochastic gradients of the likelihood, with steps that shrink by each weight's own history."""
+    """By stochastic gradients of the likelihood, with steps that shrink by each weight's own history.
+
+    Each time a run is met, its neighbours' features or its tokens' own are hidden with a probability of HIDDEN each.
+    """
     field = Field()
     gu, gp = np.full((FEATURES, 3), 1e-6), np.full((3, 3), 1e-6)
     rng = np.random.default_rng(seed)
     for _ in range(PASSES):
         for i in rng.permutation(len(data)):
             x, y = data[i]
+            hide = rng.random()
+            if hide < 2 * HIDDEN:
+                x = [f[(f < FEATURES // 2) == (hide < HIDDEN)] for f in x]
             single, pairs = field.marginals(x)
             for k, f in enumerate(x):
                 g = single[k].copy()
@@ -201,24 +238,29 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field:
     return Field(np.frombuffer(rows[0]["u"], "<f4").astype(float).reshape(-1, 3), np.frombuffer(rows[0]["p"]).reshape(3, 3).copy())
 
 
-def find(text: str, field: Field) -> list[tuple[int, int, int, int]]:
+def find(text: str, field: Field, sure: float = SURE) -> list[tuple[int, int, int, int]]:
     """Base spans and, apart from them, the field's: (start, end, kind, where the secret starts), in order."""
     out = base_spans(text)
     base = [(s[0], s[1]) for s in out]
+    free = lambda a, b: not any(s < b and a < e for s, e in base)
     for places, x in islands(text):
-        now = None
-        for (a, b), tag in zip(places, field.viterbi(x), strict=True):
-            if tag == B:
+        if all(not free(a, b) for a, b in places):
+            continue
+        tags = field.viterbi(x)
+        if not any(tags):
+            continue
+        likely = 1 - field.marginals(x)[0][:, O] >= sure
+        now: list[int] | None = None
+        for (a, b), tag, ok in zip(places, tags, likely, strict=True):
+            if tag == O or not ok or not free(a if tag == B or now is None else now[0], b):
+                now = None
+            elif tag == B or now is None:
                 now = [a, b]
-                if not any(s < b and a < e for s, e in base):
-                    out.append(now)
-                else:
-                    now = None
-            elif tag == I and now is not None and not any(s < b and now[0] < e for s, e in base):
-                now[1] = b
+                out.append((a, b, 3, a))
             else:
-                now = None
-    return sorted((s[0], s[1], 3, s[0]) if isinstance(s, list) else s for s in out)
+                now[1] = b
+                out[-1] = (now[0], b, 3, now[0])
+    return sorted(out)
 
 
 def redact(text: str, found: list[tuple[int, int, int, int]]) -> str:
@@ -237,7 +279,12 @@ def _joined(found: list[tuple[int, int, int, int]]) -> str:
 
 
 def scan(docs: DataFrame, field: Field | None = None, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans for every row of docs (doc_id, text); a null text is empty."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans for every row of docs (doc_id, text).
+
+    A null text is empty; an empty table has no rows. Rows are scanned each by itself, so repeated rows and ids give
+    equal rows, and texts may be of any length; other columns, whatever their names, are not read. Spans that start
+    together go by their kinds; an added span never overlaps a base one.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     field = field or fit(docs, sample)
 
