@@ -1,10 +1,11 @@
 """Embedding near-duplicates: an epsilon grid order join.
 
 Unit vectors with a cosine of t are sqrt(2 - 2t) apart: epsilon. Vectors are turned to the principal axes of a bounded
-sample (a rotation, so distances stay) and ordered by their grid cells of width epsilon on the leading ones. Partners
-lie in the same strip of the first axis or the next one. A strip is cut into blocks of bounded size; each pair of blocks
-within reach is one unit of work, which joins the two sorted sequences recursively and skips halves whose boxes on the
-leading axes are further apart than epsilon. Equal vectors form one class, so copies cost nothing further, and a unit
+sample (a rotation, so distances stay). The vectors of each label are put in epsilon grid order, which is that of their
+grid cells of width epsilon on the leading axes, by one global sort, and the sequence is cut into blocks of bounded size,
+each with its box on these axes. Boxes meet boxes first (one row a block): only pairs of blocks whose boxes are within
+epsilon become units of work, to which their vectors are sent. A unit joins its two sorted sequences recursively and
+skips halves whose boxes are further apart. Equal vectors form one class, so copies cost nothing further, and a unit
 returns counts and a spanning forest of its links rather than pairs.
 """
 
@@ -25,7 +26,7 @@ THRESHOLD = 0.93
 #: Vectors that the principal axes are fitted on, about; any axes give the same result.
 SAMPLE = 20_000
 #: Leading axes that order and prune; vectors of a block; vectors of a sequence that is not halved further.
-AXES, BLOCK, LEAF = 8, 2048, 128
+AXES, BLOCK, LEAF = 8, 1024, 128
 #: Added to epsilon against rounding.
 SLACK = 1e-6
 
@@ -187,6 +188,55 @@ def _units(dtype: str, basis, threshold: float, epsilon: float):
     return run
 
 
+def in_grid_order(classes: DataFrame, dtype: str, basis, epsilon: float, block: int = BLOCK) -> DataFrame:
+    """node, v, size, label, dim, y (coordinates on the leading axes) and block: the number of the interval of the epsilon
+    grid order, within a label and dimension, that the vector lies in. A block has `block` vectors at most."""
+
+    @c.task
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [np.frombuffer(v, dtype).astype(float) for v in b.column(1).to_pylist()]
+            y = np.stack([_project(unit(v[None]), basis)[0] for v in own]) if own else np.zeros((0, AXES))
+            grid = np.floor(y / (epsilon + SLACK)).astype(np.int32)
+            lists = [pa.array(list(x), pa.list_(kind)) for x, kind in ((y, pa.float64()), (grid, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(4)), pa.array([len(v) for v in own], pa.int32()), *lists], ["node", "v", "size", "label", "dim", "y", "cells"])
+
+    @c.task
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number, held, now = TaskContext.get().partitionId() << 32, 0, None
+        for b in batches:
+            out = []
+            for key in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
+                if key != now or held == block:
+                    number, held, now = number + 1, 0, key
+                held += 1
+                out.append(number)
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(6)), pa.array(out, pa.int64())], ["node", "v", "size", "label", "dim", "y", "block"])
+
+    fields = "node long, v binary, size long, label string, dim int, y array<double>"
+    found = c.cut(classes.select("node", "v", "size", "label").mapInArrow(cells, fields + ", cells array<int>"), "cells")  # the sort samples it
+    n = max(c.parts_for(found, 8), int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    order = ("label", "dim", "cells", "node")
+    return found.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(cut, fields + ", block long")
+
+
+def near_blocks(placed: DataFrame, epsilon: float) -> DataFrame:
+    """p, q: the pairs of blocks (p <= q) of one label and dimension whose boxes are within epsilon of each other.
+
+    Only blocks that are within one cell of the first axis meet, by an equi-join.
+    """
+    sides = [f(F.element_at("y", k + 1)).alias(f"{name}{k}") for k in range(AXES) for f, name in ((F.min, "lo"), (F.max, "hi"))]
+    boxes = c.cut(placed.groupBy("label", "dim", "block").agg(*sides), "boxes")
+    cell = lambda x: F.floor(F.col(x) / (epsilon + SLACK))
+    a = boxes.withColumn("cell", F.explode(F.sequence(cell("lo0"), cell("hi0")))).withColumnsRenamed({"block": "p"})
+    b = boxes.withColumn("cell", F.explode(F.sequence(cell("lo0") - 1, cell("hi0") + 1))).withColumnsRenamed({"block": "q"} | {f"{x}{k}": f"{x}{k}b" for k in range(AXES) for x in ("lo", "hi")})
+    gap = lambda k: F.greatest(F.col(f"lo{k}") - F.col(f"hi{k}b"), F.col(f"lo{k}b") - F.col(f"hi{k}"), F.lit(0.0))
+    far = sum((gap(k) * gap(k) for k in range(AXES)), F.lit(0.0))
+    return a.join(b, ["label", "dim", "cell"]).where((F.col("p") <= F.col("q")) & (far <= (epsilon + SLACK) ** 2)).select("p", "q").distinct()
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of vectors (vec_id, embedding, label).
 
@@ -201,31 +251,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     classes = c.cut(classes, "classes")
     basis = axes(classes, dtype, sample)
 
-    @c.task
-    def strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own = [np.frombuffer(v, dtype).astype(float) for v in b.column(1).to_pylist()]
-            at = [int(np.floor(_project(unit(v[None]), basis)[0, 0] / (epsilon + SLACK))) for v in own]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(3), pa.array([len(v) for v in own], pa.int32()), pa.array(at, pa.int32())], ["node", "v", "label", "size", "dim", "strip"])
-
-    placed = c.cut(classes.select("node", "v", "label", "size").mapInArrow(strips, "node long, v binary, label string, size long, dim int, strip int"), "strips")
-    counts = placed.groupBy("label", "dim", "strip").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    # Units: each block with itself, with the later blocks of its strip, and with all blocks of the next strip.
-    after = counts.select("label", "dim", (F.col("strip") - 1).alias("strip"), F.col("blocks").alias("next_blocks"))
-    sizes = counts.join(after, ["label", "dim", "strip"], "left").withColumn("next_blocks", F.coalesce("next_blocks", F.lit(0)))
-    before = counts.select("label", "dim", (F.col("strip") + 1).alias("strip"), F.col("blocks").alias("last_blocks"))
-    sizes = sizes.join(before, ["label", "dim", "strip"], "left").withColumn("last_blocks", F.coalesce("last_blocks", F.lit(0)))
-    own = placed.join(sizes, ["label", "dim", "strip"]).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks").cast("long")).cast("int"))
-    # (strip, block, strip, block) of each unit that a vector takes part in, and its side there.
-    seq = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    unit_of = lambda s1, b1, s2, b2, side: F.struct(s1.alias("s1"), b1.alias("b1"), s2.alias("s2"), b2.alias("b2"), F.lit(side).alias("side"))
-    s, k = F.col("strip"), F.col("block")
-    units = F.concat(
-        F.transform(seq(F.col("blocks")), lambda j: F.when(j < k, unit_of(s, j, s, k, 1)).otherwise(unit_of(s, k, s, j, 0))),
-        F.transform(seq(F.col("next_blocks")), lambda j: unit_of(s, k, s + 1, j, 0)),
-        F.transform(seq(F.col("last_blocks")), lambda j: unit_of(s - 1, j, s, k, 1)),
-    )
-    work = own.withColumn("u", F.explode(units)).select(F.xxhash64("label", "dim", "u.s1", "u.b1", "u.s2", "u.b2").alias("unit"), F.col("u.side").alias("side"), "node", "size", "v", ((F.col("u.s1") == F.col("u.s2")) & (F.col("u.b1") == F.col("u.b2"))).alias("both"))
+    placed = c.cut(in_grid_order(classes, dtype, basis, epsilon, block), "blocks")
+    pairs = c.cut(near_blocks(placed, epsilon), "pairs")
+    send = lambda side, own, mine: placed.join(mine.withColumnRenamed(own, "block"), "block").select(F.xxhash64(*[F.col("block") if x == own else F.col(x) for x in ("p", "q")]).alias("unit"), F.lit(side).alias("side"), "node", "size", "v", F.col("block").eqNullSafe(F.col("q" if own == "p" else "p")).alias("both"))
+    work = send(0, "p", pairs).unionByName(send(1, "q", pairs.where("p <> q")))
     n = max(c.parts_for(placed, 2), int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = c.cut(work.repartition(n, "unit").sortWithinPartitions("unit", "side").mapInArrow(_units(dtype, basis, threshold, epsilon), "kind long, a long, b long"), "links")
     linked = found.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("others"))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartolex.llm import common, language, mixing, multiset, packing, secrets
+from cartolex.llm import common, egojoin, language, mixing, multiset, packing, secrets
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -228,3 +228,31 @@ def test_secret_scans_of_odd_rows(spark):
     df = spark.createDataFrame([(i, t, None, None, None) for i, t in docs], DOCS).withColumn("spans", F.lit("mine")).withColumn("k", F.lit(1))
     got = Counter((r["doc_id"], r["n_access"], r["spans"]) for r in rows(secrets.scan(df, secrets.Field())))
     assert got == Counter([(1, 0, ""), (2, 0, ""), (3, 1, "access:0:20"), (3, 1, "access:0:20"), (None, 1, "access:2:22"), (4, 1, "access:1000000:1000020")])
+
+
+def test_vectors_of_null_and_repeated_ids(spark):
+    t = "vec_id long, embedding array<float>, label int"
+    vs = [(1, [1.0, 0.0], 1), (1, [1.0, 0.01], 1), (None, [1.0, 0.02], 1), (None, [0.0, 1.0], 1), (5, [0.0, 1.0], 1), (6, [1.0, 0.0], 2), (7, [1.0, 0.0], 2), (7, [1.0, 0.0], 2)]
+    got = Counter(tuple(r.values()) for r in rows(egojoin.near_duplicates(spark.createDataFrame(vs, t).withColumn("block", F.lit(3)).withColumn("y", F.lit(3)))))
+    assert got == Counter([(1, 2, 1, True)] * 2 + [(None, 2, 1, False), (None, 1, 5, False), (5, 1, 5, True), (6, 2, 6, True)] + [(7, 2, 6, False)] * 2)
+
+
+def test_grid_order_sends_vectors_to_near_blocks_only(spark):
+    """Clustered vectors of one label, with four times as many in the same space: blocks within reach grow less than that."""
+    per = []
+    for n in (1500, 6000):
+        rng = np.random.default_rng(9)
+        centres = rng.normal(size=(n // 15, 12))
+        vs = [(i, (centres[i % len(centres)] + rng.normal(size=12) * 0.02).tolist(), 1) for i in range(n)]
+        df = spark.createDataFrame(vs, "vec_id long, embedding array<double>, label int")
+        classes = egojoin._prepare(df, "<f8").select(F.xxhash64("v").alias("node"), "v", F.lit(1).cast("long").alias("size"), "label")
+        classes = common.cut(classes, "test")
+        epsilon = math.sqrt(2 - 2 * 0.93)
+        placed = common.cut(egojoin.in_grid_order(classes, "<f8", egojoin.axes(classes, "<f8"), epsilon, 64), "test")
+        assert placed.groupBy("block").count().agg(F.max("count")).first()[0] <= 64 and placed.count() == n
+        pairs = egojoin.near_blocks(placed, epsilon).collect()
+        blocks = placed.select("block").distinct().count()
+        per.append(len(pairs) / blocks)
+        assert len(pairs) < blocks * (blocks + 1) / 2 * 0.7
+    print("block pairs per block", per)
+    assert per[1] < 3.5 * per[0]
