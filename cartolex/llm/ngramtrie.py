@@ -1,8 +1,8 @@
-"""A bigram trie in Elias-Fano coding: monotone pointers, quantised probabilities, memory-mapped levels."""
+"""A bigram trie in Elias-Fano coding: monotone pointers, quantised logarithms, levels in one memory map."""
 
 from __future__ import annotations
 
-import os
+import mmap
 
 import numpy as np
 
@@ -110,32 +110,30 @@ class Quantiser:
         return np.clip(np.rint((x - self.low) / self.step), 0, 65535).astype(np.uint16)
 
     def value(self, q: np.ndarray) -> np.ndarray:
-        return self.low + q * self.step
+        return self.low + np.asarray(q, float) * self.step
 
 
 class Trie:
-    """Bigram probabilities: for each context its successors, found by a search among that context's alone.
+    """For each context its successors, found by a search among that context's alone, each with a quantised value.
 
     pointers: where each context's successors begin. successors: their word ids, relative to the context: each context
-    adds the last value of the one before, so that the level is monotone. Word ids are 0 to words - 1.
+    adds the last value of the one before, so that the level is monotone. Contexts are 0 to contexts - 1.
     """
 
-    def __init__(self, words: int, pointers: EliasFano, successors: EliasFano, shift: np.ndarray, probability: np.ndarray, backoff: np.ndarray, unigram: np.ndarray, scale: Quantiser) -> None:
-        self.words, self.pointers, self.successors, self.shift = words, pointers, successors, shift
-        self.probability, self.backoff, self.unigram, self.scale = probability, backoff, unigram, scale
+    def __init__(self, contexts: int, pointers: EliasFano, successors: EliasFano, shift: np.ndarray, codes: np.ndarray, scale: Quantiser) -> None:
+        self.contexts, self.pointers, self.successors, self.shift, self.codes, self.scale = contexts, pointers, successors, shift, codes, scale
 
     @classmethod
-    def build(cls, words: int, context: np.ndarray, word: np.ndarray, log_p: np.ndarray, log_unigram: np.ndarray, log_backoff: np.ndarray) -> Trie:
-        """context and word: the pairs in order; log_p: their probabilities; the rest by word id."""
-        begin = np.searchsorted(context, np.arange(words + 1))
-        last = np.zeros(words, np.int64)
+    def build(cls, contexts: int, context: np.ndarray, word: np.ndarray, value: np.ndarray, low: float, high: float) -> Trie:
+        """context and word: the pairs in order; value: theirs, from low to high."""
+        begin = np.searchsorted(context, np.arange(contexts + 1))
+        last = np.zeros(contexts, np.int64)
         full = np.flatnonzero(begin[1:] > begin[:-1])
         last[full] = word[begin[1:][full] - 1] + 1
         shift = np.cumsum(last) - last
-        low = min((float(x.min()) for x in (log_p, log_unigram, log_backoff) if len(x)), default=-1.0)
-        scale = Quantiser(low, 0.0)
+        scale = Quantiser(low, high)
         successors = EliasFano.build(word + shift[context] if len(context) else word, int(last.sum()) + 1)
-        return cls(words, EliasFano.build(begin, len(word) + 1), successors, shift, scale.code(log_p), scale.code(log_backoff), scale.code(log_unigram), scale)
+        return cls(contexts, EliasFano.build(begin, len(word) + 1), successors, shift, scale.code(value), scale)
 
     def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The place of each pair in the level, or -1."""
@@ -149,7 +147,7 @@ class Trie:
         span = np.append(self.shift[1:], self.shift[-1:] if len(self.shift) else [0])[ctx]
         value = word[own] + self.shift[ctx]
         # Beyond the context's last successor there is nothing; for the last context any value may be.
-        inside = (value < span) | (ctx == self.words - 1) | (span <= self.shift[ctx])
+        inside = (value < span) | (ctx == self.contexts - 1) | (span <= self.shift[ctx])
         own, value = own[inside], value[inside]
         value = np.minimum(value, self._top)
         i = self.successors.successor(value, first[own], after[own])
@@ -163,30 +161,23 @@ class Trie:
     def _top(self) -> int:
         return ((self.successors._last_top() + 1) << self.successors.bits) - 1
 
-    def log10(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 of P(word | context): the pair's own, or the context's weight for unseen words times the word's."""
+    def lookup(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """For each pair 0 if it is not in the trie, else 1 plus its value's code."""
         at = self.find(context, word)
-        seen = self.scale.value(self.probability[np.maximum(at, 0)]) if len(self.probability) else np.zeros(len(at))
-        other = self.scale.value(self.backoff[context]) + self.scale.value(self.unigram[word])
-        return np.where(at >= 0, seen, other)
-
-    _ARRAYS = ("shift", "probability", "backoff", "unigram")
-
-    def save(self, folder: str) -> None:
-        for k in self._ARRAYS:
-            np.save(os.path.join(folder, k), getattr(self, k))
-        for name in ("pointers", "successors"):
-            level = getattr(self, name)
-            for k in EliasFano.FIELDS:
-                np.save(os.path.join(folder, f"{name}-{k}"), getattr(level, k))
-        np.save(os.path.join(folder, "head"), np.array([self.words, self.pointers.n, self.pointers.bits, self.successors.n, self.successors.bits, self.scale.low, self.scale.step]))
-
-    @classmethod
-    def load(cls, folder: str) -> Trie:
-        """The trie with its levels mapped from the files that save() wrote."""
-        head = np.load(os.path.join(folder, "head.npy"))
-        mapped = lambda k: np.load(os.path.join(folder, f"{k}.npy"), mmap_mode="r")
-        levels = [EliasFano(int(head[1 + 2 * i]), int(head[2 + 2 * i]), *(mapped(f"{name}-{k}") for k in EliasFano.FIELDS)) for i, name in enumerate(("pointers", "successors"))]
-        scale = Quantiser(float(head[5]), 0.0)
-        scale.step = float(head[6])
-        return cls(int(head[0]), *levels, *(mapped(k) for k in cls._ARRAYS), scale)
+        return np.where(at >= 0, self.codes[np.maximum(at, 0)].astype(np.int64) + 1, 0) if len(self.codes) else np.zeros(len(context), np.int64)
+
+    def mapped(self) -> Trie:
+        """The same trie with all its levels side by side in one anonymous memory map."""
+        parts = [self.shift, self.codes, *(getattr(level, k) for level in (self.pointers, self.successors) for k in EliasFano.FIELDS)]
+        sizes = [-(-x.nbytes // 8) * 8 for x in parts]
+        room = mmap.mmap(-1, max(8, sum(sizes)))
+        views, at = [], 0
+        for x, size in zip(parts, sizes, strict=True):
+            view = np.frombuffer(room, x.dtype, len(x), at)
+            view[:] = x
+            view.flags.writeable = False
+            views.append(view)
+            at += size
+        k = len(EliasFano.FIELDS)
+        levels = [EliasFano(level.n, level.bits, *views[2 + k * i : 2 + k * (i + 1)]) for i, level in enumerate((self.pointers, self.successors))]
+        return Trie(self.contexts, *levels, views[0], views[1], self.scale)

@@ -474,13 +474,13 @@ def test_elias_fano(values, asked):
 def test_trie_finds_exactly_its_pairs(pairs):
     own = sorted(pairs)
     ctx, word = (np.array([p[k] for p in own], np.int64) for k in (0, 1))
-    lp = -np.arange(1, len(own) + 1) / 10
-    t = ngramtrie.Trie.build(31, ctx, word, lp, np.full(31, -3.0), np.full(31, -0.5))
+    lp = np.arange(1, len(own) + 1) / 20
+    t = ngramtrie.Trie.build(31, ctx, word, lp, 0.0, 14.0).mapped()
     a, b = (x.ravel() for x in np.meshgrid(np.arange(31), np.arange(31), indexing="ij"))
     at = {p: i for i, p in enumerate(own)}
     assert t.find(a, b).tolist() == [at.get(p, -1) for p in zip(a.tolist(), b.tolist(), strict=True)]
     if own:
-        assert np.allclose(t.log10(ctx, word), lp, atol=1e-3)
+        assert np.allclose(t.scale.value(t.lookup(ctx, word) - 1), lp, atol=1e-3)
 
 
 def test_lm_scores(spark, odd, none):

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartolex.llm import common, egojoin, language, mixing, multiset, packing, secrets
+from cartolex.llm import common, egojoin, language, lmscore, mixing, multiset, packing, secrets
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -256,3 +256,23 @@ def test_grid_order_sends_vectors_to_near_blocks_only(spark):
         assert len(pairs) < blocks * (blocks + 1) / 2 * 0.7
     print("block pairs per block", per)
     assert per[1] < 3.5 * per[0]
+
+
+def test_scores_do_not_hang_on_chunks_or_shards(spark, monkeypatch):
+    a, b = thue_morse(2048)
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice(["the", "of", a, b, "x", "y", "Z"], rng.integers(0, 30))) for _ in range(60)]
+    df = spark.createDataFrame([(i % 50 if i else None, t, None, None, None) for i, t in enumerate(texts)], DOCS).repartition(3)
+    c1, c2, train = Counter(), Counter(), [common.id_remainder(i % 50 if i else None, 10) != 0 for i in range(60)]
+    for t, own in zip(texts, train, strict=True):
+        w = [*t.lower().split(), None]
+        if own:
+            c1.update(w)
+            c2.update(zip([None, *w[:-1]], w, strict=True))
+    z = sum(c1.values()) + 0.1 * (len(c1) + 1)
+    want = sorted(round(sum(math.log10((c2[p] + lmscore.PRIOR * (c1[p[1]] + 0.1) / z) / (c1[p[0]] + lmscore.PRIOR)) for p in zip([None, *w[:-1]], w, strict=True)), 1) for w in ([*t.lower().split(), None] for t in texts))
+    for chunks, split in ((1, 16), (7, 1), (40, 2)):
+        monkeypatch.setattr(lmscore, "SPLIT", split)
+        got = rows(lmscore.score_documents(df, chunks=chunks))
+        assert all(abs(x - y) < 0.2 for x, y in zip(sorted(r["score"] for r in got), want, strict=True))
+        assert {r["train_tokens"] for r in got} == {sum(c1.values())} and sum(r["n_known"] for r in got) == sum(c1[x] > 0 for t in texts for x in [*t.lower().split(), None])
