@@ -1,10 +1,12 @@
 """Near-duplicates by 64-bit SimHash fingerprints, searched in BK-trees.
 
 Rows with one fingerprint form a class, so that copies cost nothing further. Two fingerprints within the radius agree
-on all but `radius` of their blocks, so classes are dealt to shards by the values of the blocks that agree: any two
-within the radius meet in some shard, whatever the shard's size. A shard is searched chunk by chunk: each chunk's
-BK-tree (children keyed by their Hamming distance to the parent) goes with the rows that query it, following only edges
-within the radius. What leaves a shard is a spanning forest of its links, never all pairs of a group.
+on all but `radius` of their blocks, so classes are dealt to shards by the leading bits of the blocks that agree: any two
+within the radius meet in some shard, whatever the shard's size. Shards are coarse (some hundreds of fingerprints), and
+each has one BK-tree (children keyed by their Hamming distance to the parent), which is searched along the edges within
+the radius; a shard of more than CHUNK fingerprints has a tree for each CHUNK of them. A tree meets the rows that query
+it by a shuffle. It is not broadcast: all trees together hold the fingerprints of all documents, which no driver may
+gather. What leaves a shard is a spanning forest of its links, never all pairs of a group.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ RADIUS = 4
 SEED = 42
 #: Fingerprints of a BK-tree at most; larger shards are cut into so many and each pair of them is one unit of work.
 CHUNK = 1024
+#: Fingerprints that a shard of random ones holds, about.
+SHARD = 512
 
 
 def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -103,18 +107,22 @@ class BKTree:
         return found
 
 
-def blocks_for(distinct: int, radius: int = RADIUS) -> tuple[int, int]:
-    """(blocks, blocks that must agree): enough agreeing bits that a shard of random fingerprints holds about 64 at most."""
+def blocks_for(distinct: int, radius: int = RADIUS) -> tuple[int, int, int]:
+    """(blocks, blocks that must agree, leading bits of each that count): as few agreeing blocks as leave SHARD random
+    fingerprints in a shard or fewer, and no more of their bits than that takes."""
+    wanted = max(0, (distinct // SHARD).bit_length() - 1)
     agree = 1
-    while agree < 4 and distinct / 2 ** (64 * agree / (agree + radius)) > 64:
+    while agree < 4 and 64 * agree // (agree + radius) < wanted:
         agree += 1
-    return agree + radius, agree
+    return agree + radius, agree, min(-(-wanted // agree), 64 // (agree + radius))
 
 
-def shard_keys(fp: str, blocks: int, agree: int):
-    """An array of shard keys of a fingerprint: a hash of each choice of blocks with their values."""
-    cuts = [round(64 * k / blocks) for k in range(blocks + 1)]
-    part = [F.shiftrightunsigned(F.col(fp), a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in itertools.pairwise(cuts)]
+def shard_keys(fp: str, blocks: int, agree: int, bits: int):
+    """An array of shard keys of a fingerprint: a hash of each choice of blocks with the leading bits of their values."""
+    if not bits:
+        return F.array(F.lit(0).cast("long"))
+    ends = [round(64 * k / blocks) for k in range(1, blocks + 1)]
+    part = [F.shiftrightunsigned(F.col(fp), end - bits).bitwiseAND(F.lit((1 << bits) - 1)) for end in ends]
     return F.array(*[F.xxhash64(F.lit(k), *[part[i] for i in chosen]) for k, chosen in enumerate(itertools.combinations(range(blocks), agree))])
 
 
@@ -168,8 +176,7 @@ def _pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def links(values: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
     """a, b: links between distinct fingerprints of values (fp long, distinct) that connect all within the radius."""
-    blocks, agree = blocks_for(values.count(), radius)
-    keyed = values.select("fp", F.explode(shard_keys("fp", blocks, agree)).alias("shard"))
+    keyed = values.select("fp", F.explode(shard_keys("fp", *blocks_for(values.count(), radius))).alias("shard"))
     sizes = keyed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     big = sizes.where(F.col("n") > chunk).select(F.col("shard").alias("big_shard"), F.ceil(F.col("n") / chunk).cast("long").alias("chunks"))
     # At most (keys in all) / chunk shards are big.

@@ -239,7 +239,7 @@ def test_bk_tree_links_connect_what_brute_force_does(spark, monkeypatch, chunk,
     rng = np.random.default_rng(2)
     seeds = rng.integers(0, 1 << 62, 12)
     fps = sorted({int(s) ^ sum(1 << int(b) for b in rng.integers(0, 62, rng.integers(0, 6))) for s in seeds for _ in range(25)} | {0, -1})
-    monkeypatch.setattr(simhash, "blocks_for", lambda n, radius=4: (agree + radius, agree))
+    monkeypatch.setattr(simhash, "blocks_for", lambda n, radius=4: (agree + radius, agree, 5))
     found = simhash.links(spark.createDataFrame([(x,) for x in fps], "fp long"), 4, chunk)
     got = {r["node"]: r["component"] for r in rows(components.components(found))}
     sets = components.UnionFind()

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartolex.llm import common, egojoin, language, lmscore, mixing, multiset, packing, secrets
+from cartolex.llm import common, egojoin, language, lmscore, mixing, multiset, packing, secrets, simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -276,3 +276,16 @@ def test_scores_do_not_hang_on_chunks_or_shards(spark, monkeypatch):
         got = rows(lmscore.score_documents(df, chunks=chunks))
         assert all(abs(x - y) < 0.2 for x, y in zip(sorted(r["score"] for r in got), want, strict=True))
         assert {r["train_tokens"] for r in got} == {sum(c1.values())} and sum(r["n_known"] for r in got) == sum(c1[x] > 0 for t in texts for x in [*t.lower().split(), None])
+
+
+def test_shards_are_coarse_and_lose_no_neighbour(spark):
+    for n in (0, 10, 10**3, 10**5, 10**7, 10**10):
+        blocks, agree, bits = simhash.blocks_for(n)
+        assert blocks == agree + 4 and bits <= 64 // blocks and (n / 2 ** (bits * agree) <= 2 * simhash.SHARD or agree == 4)
+    rng = np.random.default_rng(7)
+    base = [int(x) for x in rng.integers(-(1 << 62), 1 << 62, 40)]
+    near = [(x, x ^ sum(1 << int(b) for b in rng.choice(63, 4, replace=False))) for x in base]
+    df = spark.createDataFrame(near, "x long, y long")
+    for n in (10**4, 10**6, 10**9):
+        got = df.select(F.size(F.array_intersect(simhash.shard_keys("x", *simhash.blocks_for(n)), simhash.shard_keys("y", *simhash.blocks_for(n)))).alias("n"))
+        assert min(r["n"] for r in got.collect()) > 0
