@@ -41,12 +41,16 @@ def q_pagerank(spark, d):
     return centrality.pagerank(g.nodes, g.collapsed())
 
 
-@query("q_pagerank_sum", f"{T} SELECT true AS pagerank_ok, true AS educational_ok")
+ALL_RANKS = f"{T}, used AS (SELECT * FROM edges)" + RANKS.replace("{name}", "x")
+EDU_RANKS = f"{T}, used AS (SELECT * FROM edges WHERE type IN ({', '.join(f"'{x}'" for x in S.EDUCATIONAL)}))" + RANKS.replace("{name}", "x")
+
+
+@query("q_pagerank_sum", f"SELECT abs(a - 1) <= 0.01 AS pagerank_ok, abs(b - 1) <= 0.01 AS educational_ok, round(a, 4) AS pagerank_sum, round(b, 4) AS educational_sum FROM (SELECT sum(x) AS a FROM ({ALL_RANKS})), (SELECT sum(x) AS b FROM ({EDU_RANKS}))")
 def q_pagerank_sum(spark, d):
     g = trade(spark, d)
-    a = centrality.pagerank(g.nodes, g.collapsed()).agg((F.abs(F.sum("pagerank") - 1) <= 0.01).alias("pagerank_ok"))
-    b = centrality.educational_importance(g.nodes, g.collapsed()).agg((F.abs(F.sum("educational_importance") - 1) <= 0.01).alias("educational_ok"))
-    return a.crossJoin(b)  # one row each
+    total = lambda r, name, ok: r.agg(F.sum(name).alias("s")).select((F.abs(F.col("s") - 1) <= 0.01).alias(ok), R("s", 4).alias(name.replace("importance", "sum") if name != "pagerank" else "pagerank_sum"))
+    a = total(centrality.pagerank(g.nodes, g.collapsed()), "pagerank", "pagerank_ok")
+    return a.crossJoin(total(centrality.educational_importance(g.nodes, g.collapsed()), "educational_importance", "educational_ok"))  # one row each
 
 
 #: Least labels of neighbours, for more rounds than the graph's paths are long.

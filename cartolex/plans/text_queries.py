@@ -106,9 +106,9 @@ def q_token_counts(spark, d):
 WORDS = r"[^\p{L}\p{N}_]"
 
 
-@query("q_mentions", f"WITH {CONCEPTS_SQL}, t AS (SELECT concept_id, \"primary\" AS term FROM concepts UNION SELECT concept_id, unnest(aliases) FROM concepts), w AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '{WORDS}+')) AS term FROM documents WHERE doc_id % 3 = 0) SELECT DISTINCT 'c' || doc_id AS source, concept_id AS target, 0.35::DOUBLE AS weight FROM w JOIN t USING (term)")
+@query("q_mentions", f"WITH {CONCEPTS_SQL}, t AS (SELECT concept_id, \"primary\" AS term FROM concepts UNION SELECT concept_id, unnest(aliases) FROM concepts), w AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '{WORDS}+')) AS term FROM documents) SELECT DISTINCT 'c' || doc_id AS source, concept_id AS target, 0.35::DOUBLE AS weight FROM w JOIN t USING (term)")
 def q_mentions(spark, d):
-    chunks = table(spark, d, "documents").select(F.concat(F.lit("c"), "doc_id").alias("id"), F.when(F.col("doc_id") % 3 == 0, "Chunk").otherwise("Assessment").alias("type"), "text")
+    chunks = table(spark, d, "documents").select(F.concat(F.lit("c"), "doc_id").alias("id"), F.lit("Chunk").alias("type"), "text")
     return build.mentions(chunks, concepts(spark, d)).select("source", "target", "weight")
 
 
@@ -169,9 +169,9 @@ def q_validate_edges(spark, d):
 
 def recorded(spark, d):
     """Answers as a service gives them: for each document a fenced JSON patch of a chunk, a concept and edges between them."""
-    t = table(spark, d, "documents").where("doc_id < 200")
+    t = table(spark, d, "documents")
     w = F.concat(F.lit("d:p:"), F.lower(F.regexp_extract("text", r"^([A-Za-z]{3,12})[ .,]", 1)))
-    chunk = F.struct(F.lit("chunk_1").alias("id"), F.lit("Chunk").alias("type"), F.substring("text", 1, 300).alias("text"), F.lit(0).alias("node_offset"))
+    chunk = F.struct(F.lit("chunk_1").alias("id"), F.lit("Chunk").alias("type"), F.col("text"), F.lit(0).alias("node_offset"))
     concept = F.struct(w.alias("id"), F.lit("Concept").alias("type"), F.lit("x").alias("text"), F.lit(5).alias("node_offset"))
     edge = F.struct(F.lit("chunk_1").alias("source"), w.alias("target"), F.lit("MENTIONS").alias("type"), F.lit(0.8).alias("weight"))
     patch = F.struct(F.struct(F.array(chunk, concept).alias("nodes"), F.array(edge).alias("edges")).alias("chunk_graph_patch"))
@@ -180,27 +180,28 @@ def recorded(spark, d):
     return responses, slices
 
 
-@query("q_merge_patches_nodes", f"WITH {CONCEPTS_SQL}, t AS (SELECT doc_id, source, 'd:p:' || lower(regexp_extract(text, '^([A-Za-z]{{3,12}})[ .,]', 1)) AS w FROM documents WHERE doc_id < 200) SELECT source || ':c:' || doc_id * 1000 AS id, 'Chunk' AS type FROM t UNION SELECT w, 'Concept' FROM t WHERE w IN (SELECT concept_id FROM concepts)")
+@query("q_merge_patches_nodes", f"WITH {CONCEPTS_SQL}, t AS (SELECT doc_id, source, 'd:p:' || lower(regexp_extract(text, '^([A-Za-z]{{3,12}})[ .,]', 1)) AS w FROM documents) SELECT source || ':c:' || doc_id * 1000 AS id, 'Chunk' AS type FROM t UNION SELECT w, 'Concept' FROM t WHERE w IN (SELECT concept_id FROM concepts)")
 def q_merge_patches_nodes(spark, d):
     return build.merge_patches(*recorded(spark, d), concepts(spark, d))[0].select("id", "type")
 
 
-@query("q_merge_patches_edges", f"WITH {CONCEPTS_SQL}, t AS (SELECT source || ':c:' || doc_id * 1000 AS id, substr(text, 1, 300) AS text, 'd:p:' || lower(regexp_extract(text, '^([A-Za-z]{{3,12}})[ .,]', 1)) AS w FROM documents WHERE doc_id < 200), g AS (SELECT id AS source, w AS target, 0.8::DOUBLE AS weight FROM t WHERE w IN (SELECT concept_id FROM concepts)), k AS (SELECT concept_id, \"primary\" AS term FROM concepts UNION SELECT concept_id, unnest(aliases) FROM concepts), m AS (SELECT DISTINCT id AS source, concept_id AS target FROM (SELECT id, unnest(regexp_split_to_array(lower(text), '{WORDS}+')) AS term FROM t) JOIN k USING (term)) SELECT * FROM g UNION ALL SELECT source, target, 0.35 FROM m ANTI JOIN g USING (source, target)")
+@query("q_merge_patches_edges", f"WITH {CONCEPTS_SQL}, t AS (SELECT source || ':c:' || doc_id * 1000 AS id, text, 'd:p:' || lower(regexp_extract(text, '^([A-Za-z]{{3,12}})[ .,]', 1)) AS w FROM documents), g AS (SELECT id AS source, w AS target, 0.8::DOUBLE AS weight FROM t WHERE w IN (SELECT concept_id FROM concepts)), k AS (SELECT concept_id, \"primary\" AS term FROM concepts UNION SELECT concept_id, unnest(aliases) FROM concepts), m AS (SELECT DISTINCT id AS source, concept_id AS target FROM (SELECT id, unnest(regexp_split_to_array(lower(text), '{WORDS}+')) AS term FROM t) JOIN k USING (term)) SELECT * FROM g UNION ALL SELECT source, target, 0.35 FROM m ANTI JOIN g USING (source, target)")
 def q_merge_patches_edges(spark, d):
     return build.merge_patches(*recorded(spark, d), concepts(spark, d))[1].select("source", "target", "weight")
 
 
-@query("q_rejected", "SELECT printf('slice_%03d', doc_id) AS slice_id FROM documents WHERE doc_id < 200 AND doc_id % 7 = 0")
+@query("q_rejected", "SELECT printf('slice_%03d', doc_id) AS slice_id FROM documents WHERE doc_id % 7 = 0")
 def q_rejected(spark, d):
     responses, _ = recorded(spark, d)
     broken = responses.withColumn("response", F.when(F.col("slice_order") % 7 == 0, F.lit("no json")).otherwise(F.col("response")))
     return build.rejected(broken, build.GRAPH_PATCH).select("slice_id")
 
 
-@query("q_concept_usage", f"WITH {CONCEPTS_SQL} SELECT concept_id, \"primary\", 0::BIGINT AS n FROM concepts")
+@query("q_concept_usage", f"WITH {CONCEPTS_SQL}, t AS (SELECT concept_id, \"primary\" AS term FROM concepts UNION SELECT concept_id, unnest(aliases) FROM concepts), w AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '{WORDS}+')) AS term FROM documents), m AS (SELECT concept_id, count(DISTINCT doc_id) AS n FROM w JOIN t USING (term) GROUP BY 1) SELECT concept_id, \"primary\", coalesce(n, 0)::BIGINT AS n FROM concepts LEFT JOIN m USING (concept_id)")
 def q_concept_usage(spark, d):
-    g = trade(spark, d)
-    return enrich.concept_usage(g.nodes, g.edges, concepts(spark, d)).withColumn("n", F.col("n").cast("long"))
+    chunks, terms = table(spark, d, "documents").select(F.concat(F.lit("c"), "doc_id").alias("id"), F.lit("Chunk").alias("type"), "text"), concepts(spark, d)
+    nodes = chunks.select("id", "type").unionByName(terms.select(F.col("concept_id").alias("id"), F.lit("Concept").alias("type")))
+    return enrich.concept_usage(nodes, build.mentions(chunks, terms), terms).withColumn("n", F.col("n").cast("long"))
 
 
 @query("q_hashed_embedding")
