@@ -21,19 +21,14 @@ BLOCK = 2000
 DIM = 256
 
 
-def nearest(vectors: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
-    """i, j, similarity: for each vector (i, vec) the k others of the largest inner product, ties to the smaller j.
+#: Cells that vectors are dealt to, at most: so many of them are held by each task, as the centres.
+CELLS = 1024
 
-    Exact: blocks of vectors meet in pairs, each pair is one matrix product that gives the k best of each row, and the
-    best of those are kept. Products in double precision are rounded to 12 digits so that ties do not hang on rounding.
-    """
-    n = max(1, -(-vectors.count() // block))
-    put = vectors.withColumn("b", F.pmod(F.xxhash64("i"), F.lit(n)).cast("int"))
-    every = F.sequence(F.lit(0), F.lit(n - 1))
-    left = put.select(F.col("b").alias("p"), F.explode(every).alias("q"), F.lit(0).alias("side"), "i", "vec")
-    right = put.select(F.explode(every).alias("p"), F.col("b").alias("q"), F.lit(1).alias("side"), "i", "vec")
 
-    def best(g: pd.DataFrame) -> pd.DataFrame:
+def _best(k: int):
+    """The k best of each query (side 0) among the members (side 1) of a unit; of equal ones the smaller j."""
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
         a, b = g[g["side"] == 0], g[g["side"] == 1].sort_values("i")
         if a.empty or b.empty:
             return pd.DataFrame({"i": [], "j": [], "similarity": []})
@@ -47,7 +42,65 @@ def nearest(vectors: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
         out = pd.DataFrame({"i": ids[rows], "j": others[flat], "similarity": sims[rows, flat]})
         return out[np.isfinite(out["similarity"])]
 
-    found = left.unionByName(right).groupBy("p", "q").applyInPandas(best, "i long, j long, similarity double")
+    return run
+
+
+def nearest(vectors: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+    """i, j, similarity: for each vector (i, vec) the k others of the largest inner product, ties to the smaller j.
+
+    Exact. Vectors are dealt to the cell of the nearest of some of them (CELLS at most), and cells to blocks of bounded
+    size. A vector's k best in its own block bound what is worth having; then it visits only the cells that can hold as
+    much, since no member's product with x exceeds that of the cell's centre by more than |x| times the cell's radius.
+    Products in double precision are rounded to 12 digits so that ties do not hang on rounding.
+    """
+    spark = vectors.sparkSession
+    n = vectors.count()
+    cells = min(CELLS, -(-n // block))
+    order = F.xxhash64(F.lit("centre"), "i")
+    centres = np.stack([np.asarray(r["vec"], dtype=np.float64) for r in vectors.orderBy(order).limit(cells).collect()]) if n else np.zeros((1, 1))
+    squares = (centres * centres).sum(1)
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                x = np.stack([np.asarray(v, dtype=np.float64) for v in b["vec"]])
+                far = squares[None] - 2 * x @ centres.T
+                cell = far.argmin(1)
+                gap = x - centres[cell]
+                yield pd.DataFrame({"i": b["i"], "vec": b["vec"], "cell": cell.astype(np.int32), "radius": np.sqrt((gap * gap).sum(1))})
+
+    kind = vectors.schema["vec"].dataType.simpleString()
+    dealt = scratch.settle(vectors.select("i", "vec").mapInPandas(deal, f"i long, vec {kind}, cell int, radius double"), "cells")
+    sizes = dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.max("radius").alias("radius")).collect()  # CELLS rows at most
+    radius, blocks = np.full(len(centres), -1.0), np.zeros(len(centres), np.int32)
+    for r in sizes:
+        radius[r["cell"]], blocks[r["cell"]] = r["radius"], r["blocks"]
+    of = F.element_at(F.array(*[F.lit(int(x)) for x in blocks]), F.col("cell") + 1)
+    own = dealt.withColumn("b", F.pmod(F.xxhash64("i"), of.cast("long")).cast("int"))
+    pair = own.select("cell", "b", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"), "i", "vec")
+    first = scratch.settle(pair.groupBy("cell", "b").applyInPandas(_best(k), "i long, j long, similarity double"), "first")
+    least = first.groupBy("i").agg(F.min("similarity").alias("least"), F.count(F.lit(1)).alias("n"))
+    known = own.join(least, "i", "left").select("i", "vec", "cell", "b", F.when(F.col("n") >= k, F.col("least")).alias("least"))
+
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in batches:
+            if len(g):
+                x = np.stack([np.asarray(v, dtype=np.float64) for v in g["vec"]])
+                most = x @ centres.T + np.sqrt((x * x).sum(1))[:, None] * radius[None] + 1e-9
+                worth = (most >= g["least"].fillna(-np.inf).to_numpy()[:, None]) & (radius >= 0)[None]
+                row, cell = np.nonzero(worth)
+                times = blocks[cell]
+                b = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                row, cell = np.repeat(row, times), np.repeat(cell, times)
+                new = (g["cell"].to_numpy()[row] != cell) | (g["b"].to_numpy()[row] != b)  # its own block is done
+                yield pd.DataFrame({"i": g["i"].to_numpy()[row[new]], "vec": g["vec"].to_numpy()[row[new]], "cell": cell[new].astype(np.int32), "b": b[new].astype(np.int32)})
+
+    # The queries of a block go in groups, so that no unit holds more than a block and about as many queries.
+    asked = scratch.settle(known.mapInPandas(visit, f"i long, vec {kind}, cell int, b int"), "asked")
+    groups = asked.groupBy("cell", "b").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("groups"))
+    queries = asked.join(groups, ["cell", "b"]).select("cell", "b", F.pmod(F.xxhash64("i"), F.col("groups").cast("long")).cast("int").alias("q"), F.lit(0).alias("side"), "i", "vec")
+    members = own.join(groups, ["cell", "b"]).select("cell", "b", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("q"), F.lit(1).alias("side"), "i", "vec")
+    found = first.unionByName(queries.unionByName(members).groupBy("cell", "b", "q").applyInPandas(_best(k), "i long, j long, similarity double"))
     place = F.row_number().over(W.partitionBy("i").orderBy(F.desc("similarity"), "j"))
     return found.withColumn("place", place).where(F.col("place") <= k).drop("place")
 

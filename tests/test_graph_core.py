@@ -4,11 +4,12 @@ import json
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from cartolex import scratch
-from cartolex.operators import build, centrality, enrich, fixpoint, quality
+from cartolex.operators import build, centrality, enrich, fixpoint, quality, similarity
 
 NODES = "_ord long, id string, difficulty int"
 EDGES = "_ord long, source string, target string, type string, weight double"
@@ -151,3 +152,19 @@ def test_quartiles_by_numbers(spark):
         q1, q3 = v[len(v) // 4], v[3 * len(v) // 4]
         want |= {(m, r[0]) for r in rows if r[at] < q1 - 1.5 * (q3 - q1) or r[at] > q3 + 1.5 * (q3 - q1)}
     assert {(r["metric"], r["id"]) for r in quality.outliers_iqr(df, ["a", "b"]).collect()} == want
+
+
+@pytest.mark.parametrize("block", [15, 1000])
+def test_nearest_is_exact_and_visits_few_cells(spark, block):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 8))
+    x = np.concatenate([centres[k % 12] * 3 + rng.normal(size=8) * 0.1 for k in range(150)]).reshape(150, 8)
+    x[140:] = x[0]  # ties
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i long, vec array<double>")
+    sims = np.round(x @ x.T, 12)
+    want = set()
+    for i in range(150):
+        order = sorted((j for j in range(150) if j != i), key=lambda j: (-sims[i, j], j))[:4]
+        want |= {(i, j) for j in order}
+    assert {(r["i"], r["j"]) for r in similarity.nearest(df, 4, block).collect()} == want
+    assert similarity.nearest(df.limit(0), 4).collect() == []
