@@ -174,7 +174,8 @@ def fingerprint_documents(docs: DataFrame, slice_mb: int = 4) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    slices = min(c.parts_for(docs, slice_mb), SLICES)
+    # As many slices as the shuffle has tasks, or more where the bytes ask for it.
+    slices = min(max(c.parts_for(docs, slice_mb), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), SLICES)
     cuts = docs.select(key.alias("k")).approxQuantile("k", [i / slices for i in range(1, slices)], 0.1 / slices) if slices > 1 else []
     cuts = sorted({int(x) for x in cuts})
     # Slice i has the keys above cuts[i-1], up to cuts[i].
