@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartolex.llm import common, egojoin, language, lmscore, mixing, multiset, packing, secrets, simhash
+from cartolex.llm import common, egojoin, language, lmscore, mixing, multiset, packing, quality, secrets, simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -289,3 +289,47 @@ def test_shards_are_coarse_and_lose_no_neighbour(spark):
     for n in (10**4, 10**6, 10**9):
         got = df.select(F.size(F.array_intersect(simhash.shard_keys("x", *simhash.blocks_for(n)), simhash.shard_keys("y", *simhash.blocks_for(n)))).alias("n"))
         assert min(r["n"] for r in got.collect()) > 0
+
+
+def test_statistics_by_plain_counting():
+    texts = ["The cat. The CAT sat, on 12 mats!", "", "a\na\nb  b b", "Ünïcode wörds hier", "x" * 30 + " ok", thue_morse(256)[0] + " " + thue_morse(256)[1]]
+    got = quality.statistics(__import__("pyarrow").array(texts, __import__("pyarrow").large_string()))
+    share = lambda a, b: a / b if b else 0.0
+    for row, t in zip(got, texts, strict=True):
+        b = t.encode()
+        w = b.split()
+        low = [x.lower() for x in w]
+        lines = [x for x in b.split(b"\n") if x]
+        mean = share(sum(map(len, w)), len(w))
+        want = {
+            0: math.log1p(len(b)), 1: math.log1p(len(w)), 2: mean, 3: math.sqrt(max(share(sum(len(x) ** 2 for x in w), len(w)) - mean**2, 0)),
+            7: share(len(w), len(b)), 8: share(len(set(low)), len(w)) * math.log1p(len(w)), 9: share(max(Counter(low).values(), default=0), len(w)),
+            10: share(sum(x == y for x, y in zip(low, low[1:], strict=False)), len(w)), 11: share(len(lines), len(w)), 12: share(len(lines) - len(set(lines)), len(lines)), 13: share(sum(len(x) > 20 for x in w), len(w)),
+        }
+        for k, v in want.items():
+            assert math.isclose(row[k], v, rel_tol=1e-6, abs_tol=1e-6), (t[:40], k, row[k], v)
+
+
+def test_ridge_and_calibration_by_direct_solution(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(240, quality.STATISTICS)).astype(np.float32)
+    y = (x[:, 0] + rng.normal(size=240) * 0.3 > 0).astype(float)
+    fold = np.arange(240) % 4 + 1
+    df = spark.createDataFrame([(v.tolist(), float(t), int(f)) for v, t, f in zip(x, y, fold, strict=True)], "x array<float>, y double, fold long").repartition(3)
+    model = quality.fit(df)
+    z = x.astype(float)
+    assert np.allclose(model.mean, z.mean(0), atol=1e-6) and np.allclose(model.std, z.std(0), atol=1e-6)
+    own = fold != 1
+    a = model.features(z[own])
+    # Ridge as least squares: the penalty's roots are rows of their own.
+    k = a.shape[1]
+    penalty = np.full(k, quality.RIDGE * own.sum() / quality.FEATURES)
+    penalty[-1] = 1e-9
+    direct = np.linalg.lstsq(np.vstack([a, np.diag(np.sqrt(penalty))]), np.concatenate([y[own], np.zeros(k)]), rcond=None)[0]
+    assert np.allclose(a @ model.weights, a @ direct, atol=1e-5)
+    # The isotonic curve by its max-min formula over the bins of fold 1.
+    at = np.clip(((model.ridge(z[~own]) + 0.5) / 2 * quality.BINS).astype(int), 0, quality.BINS - 1)
+    bins = sorted(set(at.tolist()))
+    n, s = np.array([(at == b).sum() for b in bins], float), np.array([y[~own][at == b].sum() for b in bins])
+    want = [max(min(s[i : j + 1].sum() / n[i : j + 1].sum() for j in range(m, len(bins))) for i in range(m + 1)) for m in range(len(bins))]
+    assert np.allclose(model.curve[1], want)
