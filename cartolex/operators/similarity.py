@@ -55,9 +55,13 @@ def nearest(vectors: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
     """
     spark = vectors.sparkSession
     n = vectors.count()
+    place = F.row_number().over(W.partitionBy("i").orderBy(F.desc("similarity"), "j"))
+    if n <= block:  # one cell of one block: there is nothing else to visit
+        both = vectors.select(F.lit(0).alias("cell"), F.explode(F.array(F.lit(0), F.lit(1))).alias("side"), "i", "vec")
+        return both.groupBy("cell").applyInPandas(_best(k), "i long, j long, similarity double").withColumn("place", place).where(F.col("place") <= k).drop("place")
     cells = min(CELLS, -(-n // block))
     order = F.xxhash64(F.lit("centre"), "i")
-    centres = np.stack([np.asarray(r["vec"], dtype=np.float64) for r in vectors.orderBy(order).limit(cells).collect()]) if n else np.zeros((1, 1))
+    centres = np.stack([np.asarray(r["vec"], dtype=np.float64) for r in vectors.orderBy(order).limit(cells).collect()])
     squares = (centres * centres).sum(1)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -101,7 +105,6 @@ def nearest(vectors: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
     queries = asked.join(groups, ["cell", "b"]).select("cell", "b", F.pmod(F.xxhash64("i"), F.col("groups").cast("long")).cast("int").alias("q"), F.lit(0).alias("side"), "i", "vec")
     members = own.join(groups, ["cell", "b"]).select("cell", "b", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("q"), F.lit(1).alias("side"), "i", "vec")
     found = first.unionByName(queries.unionByName(members).groupBy("cell", "b", "q").applyInPandas(_best(k), "i long, j long, similarity double"))
-    place = F.row_number().over(W.partitionBy("i").orderBy(F.desc("similarity"), "j"))
     return found.withColumn("place", place).where(F.col("place") <= k).drop("place")
 
 
