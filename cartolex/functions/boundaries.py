@@ -70,6 +70,14 @@ MOST = 50
 TOKEN = re.compile(r"\s?\w{1,6}|\s|[^\w\s]")
 
 
+def truncated(text: str, limit: int, keep: int | None = None) -> str:
+    """A text of more than `limit` tokens cut to its first `keep` (`limit` if not given); others as they are."""
+    if len(text) <= limit:  # no token is empty
+        return text
+    tokens = Tokens(text)
+    return text if len(tokens) <= limit else text[: tokens.at[limit if keep is None else keep]]
+
+
 class Tokens:
     """A text as tokens, by their character offsets: runs of up to six word characters with a white space before, and
     other characters by themselves. Another tokenizer may be put in its place by giving its offsets."""

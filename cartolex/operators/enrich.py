@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -244,9 +244,36 @@ def ladder_path(edges: DataFrame, start: str, goal: str, tiers: tuple[tuple[str,
     return path
 
 
+def _difficulty() -> Column:
+    """A node's difficulty; none, or 0, is the usual one."""
+    return F.when(F.coalesce("difficulty", F.lit(0)) == 0, F.lit(S.DIFFICULTY)).otherwise(F.col("difficulty"))
+
+
+def path_summary(path: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One row: steps of a path (seq from 0, id) and the sum of its nodes' difficulties but for the start; nulls if there
+    is no path. A node that is unknown counts for nothing."""
+    own = path.where("seq > 0").join(nodes.select("id", _difficulty().alias("__d")), "id", "left").agg(F.coalesce(F.sum("__d"), F.lit(0)).cast("long").alias("difficulty"))
+    steps = path.agg(F.max("seq").cast("long").alias("steps"))
+    return steps.crossJoin(own).select("steps", F.when(F.col("steps").isNotNull(), F.col("difficulty")).alias("difficulty"))  # one row each
+
+
+def easiest_path(nodes: DataFrame, edges: DataFrame, start: str, goal: str, alpha: float = 0.0, beta: float = 1.0, sigma: float = 0.5) -> DataFrame:
+    """seq, id, cost so far along a path of the least sum of path_costs(); among several the one of the fewest edges, and
+    of equal parents the smallest id. No rows if there is none.
+
+    An edge lies on an easiest path if its cost is just what its ends' least costs differ by; the path is the shortest
+    over such edges.
+    """
+    costs = path_costs(nodes, edges, alpha, beta, sigma).select("source", "target", "cost")
+    least = scratch.settle(least_costs(costs, start), "least")
+    of = lambda end: least.select(F.col("id").alias(end), F.col("cost").alias("__" + end))
+    tight = costs.join(of("source"), "source").join(of("target"), "target").where("__source + cost = __target").select("source", "target")
+    return shortest_path(tight, start, goal).join(least, "id").select("seq", "id", "cost")
+
+
 def path_costs(nodes: DataFrame, edges: DataFrame, alpha: float = 0.0, beta: float = 1.0, sigma: float = 0.5) -> DataFrame:
     """edges with cost = alpha + beta * difficulty of the target + sigma * (1 - weight); a weight of 0 or none counts as 1."""
-    d = nodes.select(F.col("id").alias("target"), F.coalesce("difficulty", F.lit(S.DIFFICULTY)).alias("__d"))
+    d = nodes.select(F.col("id").alias("target"), _difficulty().alias("__d"))
     w = F.when(F.coalesce("weight", F.lit(0.0)) == 0, F.lit(1.0)).otherwise(F.col("weight"))
     return edges.join(d, "target").withColumn("cost", alpha + beta * F.col("__d") + sigma * (1 - w)).drop("__d")
 

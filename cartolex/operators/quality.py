@@ -135,6 +135,28 @@ def cluster_sizes(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def distinct_clusters(nodes: DataFrame) -> DataFrame:
+    """cluster_id: each that a node has, ascending."""
+    return nodes.where("cluster_id IS NOT NULL").select("cluster_id").distinct().orderBy("cluster_id")
+
+
+def cluster_statistics(nodes: DataFrame, edges: DataFrame, bridge: float = 0.7) -> DataFrame:
+    """One row: clusters, nodes whose bridge score is above a threshold, and edges between nodes of different clusters."""
+    own = nodes.agg(F.countDistinct("cluster_id").alias("clusters"), F.count_if(F.col("bridge_score") > bridge).alias("bridge_nodes"))
+    of = lambda end: nodes.where("cluster_id IS NOT NULL").select(F.col("id").alias(end), F.col("cluster_id").alias("__" + end))
+    between = edges.join(of("source"), "source").join(of("target"), "target").agg(F.count_if(F.col("__source") != F.col("__target")).alias("inter_cluster_edges"))
+    return own.crossJoin(between)  # one row each
+
+
+def nodes_by_depth(nodes: DataFrame) -> DataFrame:
+    """prerequisite_depth (0 for none), place, id: the nodes of each depth in order, numbered from 1. A depth may hold most
+    of the nodes, so its list is rows, numbered over the sorted table."""
+    own = nodes.select(F.coalesce("prerequisite_depth", F.lit(0)).alias("prerequisite_depth"), "_ord", "id")
+    s = scratch.settle(scratch.in_order(own, "prerequisite_depth", "_ord", "id"), "depths")
+    first = s.groupBy("prerequisite_depth").agg(F.min("__n").alias("__first"))
+    return s.join(first, "prerequisite_depth").select("prerequisite_depth", (F.col("__n") - F.col("__first") + 1).alias("place"), "id")
+
+
 def statistics(nodes: DataFrame, metrics: list[str]) -> DataFrame:
     """metric, n, least, most, mean, std (of the population) of the values that are there."""
     return relational.unpivot(nodes, "id", metrics).groupBy("metric").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))

@@ -77,5 +77,12 @@ def upsert(edges: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rest.select("_ord", "source", "target", "type", "weight", "conditions").unionByName(kept), done.where("op <> 'edge'").select("op", "source", "target", "type")
 
 
+def usage_totals(calls: DataFrame) -> DataFrame:
+    """stage, requests, input_tokens, output_tokens: what a service was asked, of one row a call (stage, input_tokens,
+    output_tokens; no number counts as 0)."""
+    total = lambda c: F.sum(F.coalesce(F.col(c).cast("long"), F.lit(0))).alias(c)
+    return calls.groupBy("stage").agg(F.count(F.lit(1)).alias("requests"), total("input_tokens"), total("output_tokens"))
+
+
 def operation_counts(audit: DataFrame) -> DataFrame:
     return audit.groupBy("op", "type").agg(F.count(F.lit(1)).alias("n"))

@@ -14,8 +14,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def trade(spark: SparkSession, sf_dir: str, top: int | None = 4) -> PropertyGraph:
-    """Nations as nodes; an edge from a supplier's nation to each of the `top` customers' nations it sells most to, or to all."""
+def trade(spark: SparkSession, sf_dir: str) -> PropertyGraph:
+    """Nations as nodes; an edge from a supplier's nation to each customer's nation that it sells to."""
     t = lambda n: table(spark, sf_dir, n)
     k, name = F.col("n_nationkey"), F.initcap("n_name")
     about = F.concat(F.lit("about "), name)
@@ -36,9 +36,6 @@ def trade(spark: SparkSession, sf_dir: str, top: int | None = 4) -> PropertyGrap
     sold = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("l_orderkey", "s_nationkey").agg(F.count(F.lit(1)).alias("n"))
     bought = sold.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey", "s_nationkey").agg(F.sum("n").alias("n"))
     pairs = bought.join(customer, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("s_nationkey").alias("s"), F.col("c_nationkey").alias("t")).agg(F.sum("n").alias("n"))
-    if top is not None:
-        best = W.partitionBy("s").orderBy(F.desc("n"), "t")
-        pairs = pairs.withColumn("r", F.row_number().over(best)).where(F.col("r") <= top)
     most = pairs.agg(F.max("n").alias("most"))
     s, d = F.col("s"), F.col("t")
     mix = (s * 25 + d) % 4
@@ -60,10 +57,9 @@ nodes AS (SELECT n_nationkey::BIGINT AS _ord, 'n:c:' || n_nationkey AS id, ['Chu
   (n_nationkey % 5 + 1)::INTEGER AS difficulty, n_regionkey::INTEGER AS cluster_id FROM nation),
 pairs AS (SELECT s_nationkey AS s, c_nationkey AS t, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
   JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY n DESC, t) AS r FROM pairs) WHERE r <= 4),
 edges AS (SELECT (s * 25 + t)::BIGINT AS _ord, 'n:c:' || s AS source, 'n:c:' || t AS target,
-  [{", ".join(f"'{x}'" for x in S.EDGE_TYPES)}][(s * 3 + t) % 9 + 1] AS type, n / (SELECT max(n) FROM best) AS weight,
-  CASE (s * 25 + t) % 4 WHEN 0 THEN 'see ' || t WHEN 1 THEN 'added_by=x' WHEN 2 THEN '  ' END AS conditions FROM best)
+  [{", ".join(f"'{x}'" for x in S.EDGE_TYPES)}][(s * 3 + t) % 9 + 1] AS type, n / (SELECT max(n) FROM pairs) AS weight,
+  CASE (s * 25 + t) % 4 WHEN 0 THEN 'see ' || t WHEN 1 THEN 'added_by=x' WHEN 2 THEN '  ' END AS conditions FROM pairs)
 """
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import columns as C
 from ..graph import PropertyGraph, collapse_edges
-from ..operators import centrality, enrich, fixpoint, similarity
+from ..operators import centrality, enrich, fixpoint, quality, similarity
 from .fixtures import DIALOGUE_SQL, PURCHASES_SQL, TRADE_SQL, dialogue, purchases, table, trade
 from .registry import query
 
@@ -92,13 +92,28 @@ def q_depth_groups(spark, d):
     return centrality.prerequisite_metrics(g.nodes, g.collapsed()).groupBy("prerequisite_depth").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("q_nodes_by_depth", f"{V}{DEPTH}, m AS (SELECT id, max(depth)::INTEGER AS k FROM w GROUP BY 1) SELECT k AS prerequisite_depth, row_number() OVER (PARTITION BY k ORDER BY _ord) AS place, id FROM m JOIN nodes USING (id)")
+def q_nodes_by_depth(spark, d):
+    g = dialogue(spark, d)
+    depth = centrality.prerequisite_metrics(g.nodes, g.collapsed()).select("id", "prerequisite_depth")
+    return quality.nodes_by_depth(g.nodes.join(depth, "id"))
+
+
 HOPS = """, w AS (SELECT '{start}' AS id, 0 AS hops UNION SELECT e.target, hops + 1 FROM w JOIN used e ON e.source = w.id WHERE hops < 12), h AS (SELECT id, min(hops)::INTEGER AS hops FROM w GROUP BY 1)"""
 
 
-@query("q_bfs", f"{T}, used AS (SELECT * FROM edges){HOPS.replace('{start}', 'n:c:0')} SELECT id, hops FROM h")
+#: The types of the first tier alone leave paths of several steps.
+STRONG = f"used AS (SELECT * FROM edges WHERE type IN ({', '.join(f"'{x}'" for x in S.STRONG)}))"
+
+
+def strong(g):
+    return g.edges.where(F.col("type").isin(*S.STRONG))
+
+
+@query("q_bfs", f"{T}, {STRONG}{HOPS.replace('{start}', 'n:c:8')} SELECT id, hops FROM h")
 def q_bfs(spark, d):
     g = trade(spark, d)
-    return fixpoint.breadth_first(g.edges, g.nodes.where("id = 'n:c:0'")).select("id", "hops")
+    return fixpoint.breadth_first(strong(g), g.nodes.where("id = 'n:c:8'")).select("id", "hops")
 
 
 @query("q_ancestors", f"{T}, used AS (SELECT target AS source, source AS target FROM edges WHERE type IN ('PREREQUISITE', 'ELABORATES', 'EXAMPLE_OF')){HOPS.replace('{start}', 'n:c:3')} SELECT id, hops FROM h WHERE hops > 0")
@@ -106,15 +121,23 @@ def q_ancestors(spark, d):
     return enrich.ancestors(trade(spark, d).edges, "n:c:3")
 
 
-@query("q_shortest_path", f"""{T}, used AS (SELECT * FROM edges){HOPS.replace('{start}', 'n:c:0')},
-b AS (SELECT 'n:c:1' AS id, (SELECT hops FROM h WHERE id = 'n:c:1') AS seq UNION ALL SELECT (SELECT min(e.source) FROM edges e JOIN h ON h.id = e.source WHERE e.target = b.id AND h.hops = b.seq - 1), seq - 1 FROM b WHERE seq > 0) SELECT seq::INTEGER AS seq, id FROM b WHERE seq IS NOT NULL""")
+BACK = """b AS (SELECT 'n:c:15' AS id, (SELECT hops FROM h WHERE id = 'n:c:15') AS seq UNION ALL SELECT (SELECT min(e.source) FROM used e JOIN h ON h.id = e.source WHERE e.target = b.id AND h.hops = b.seq - 1), seq - 1 FROM b WHERE seq > 0)"""
+
+
+@query("q_shortest_path", f"{T}, {STRONG}{HOPS.replace('{start}', 'n:c:8')}, {BACK} SELECT seq::INTEGER AS seq, id FROM b WHERE seq IS NOT NULL")
 def q_shortest_path(spark, d):
-    return enrich.shortest_path(trade(spark, d).edges, "n:c:0", "n:c:1")
+    return enrich.shortest_path(strong(trade(spark, d)), "n:c:8", "n:c:15")
+
+
+@query("q_path_summary", f"{T}, {STRONG}{HOPS.replace('{start}', 'n:c:8')}, {BACK} SELECT max(seq)::BIGINT AS steps, sum(CASE WHEN seq > 0 THEN difficulty WHEN seq = 0 THEN 0 END)::BIGINT AS difficulty FROM b JOIN nodes USING (id)")
+def q_path_summary(spark, d):
+    g = trade(spark, d)
+    return enrich.path_summary(enrich.shortest_path(strong(g), "n:c:8", "n:c:15"), g.nodes)
 
 
 @query("q_ladder")
 def q_ladder(spark, d):
-    return enrich.ladder_path(trade(spark, d, None).edges, "n:c:0", "n:c:1")
+    return enrich.ladder_path(trade(spark, d).edges, "n:c:0", "n:c:1")
 
 
 @query("q_easiest_path", f"""{T}, k AS (SELECT source, target, n.difficulty + 0.5 * (1 - weight) AS cost FROM edges JOIN nodes n ON n.id = target),
@@ -125,6 +148,15 @@ def q_easiest_path(spark, d):
     return enrich.least_costs(enrich.path_costs(g.nodes, g.collapsed()), "n:c:0").select("id", R("cost").alias("cost"))
 
 
+@query("q_easiest_route", f"""{T}, k AS (SELECT source, target, n.difficulty + 0.5 * (1 - weight) AS cost FROM edges JOIN nodes n ON n.id = target WHERE edges.type IN ({', '.join(f"'{x}'" for x in S.STRONG)})),
+c AS (SELECT 'n:c:8' AS id, 0.0::DOUBLE AS cost, 0 AS hops UNION ALL SELECT id, min(cost), min(hops) FROM (SELECT k.target AS id, c.cost + k.cost AS cost, hops + 1 AS hops FROM c JOIN k ON k.source = c.id WHERE hops < 24) GROUP BY id),
+m AS (SELECT id, min(cost) AS cost FROM c GROUP BY 1), used AS (SELECT source, target FROM k JOIN m s ON s.id = source JOIN m t ON t.id = target WHERE abs(s.cost + k.cost - t.cost) < 1e-9)
+{HOPS.replace('{start}', 'n:c:8')}, {BACK} SELECT seq::INTEGER AS seq, b.id, round(m.cost, 6) AS cost FROM b JOIN m USING (id) WHERE seq IS NOT NULL""")
+def q_easiest_route(spark, d):
+    g = trade(spark, d)
+    return enrich.easiest_path(g.nodes, strong(g), "n:c:8", "n:c:15").withColumn("cost", R("cost"))
+
+
 CLOSE = """, k AS (SELECT source, target, 1.0 / weight AS cost FROM edges), w AS (SELECT id AS start, id, 0.0::DOUBLE AS cost, 0 AS hops FROM nodes UNION ALL
  SELECT start, id, min(cost), min(hops) FROM (SELECT w.start, k.target AS id, w.cost + k.cost AS cost, hops + 1 AS hops FROM w JOIN k ON k.source = w.id WHERE hops < 24) GROUP BY start, id), m AS (SELECT start, id, min(cost) AS cost FROM w GROUP BY 1, 2)"""
 
@@ -137,41 +169,41 @@ def q_closeness(spark, d):
 
 @query("q_betweenness")
 def q_betweenness(spark, d):
-    g = trade(spark, d, None)
+    g = trade(spark, d)
     return centrality.path_metrics(g.nodes, g.collapsed()).select("id", R("betweenness_centrality").alias("betweenness_centrality"))
 
 
 @query("q_louvain")
 def q_louvain(spark, d):
-    g = trade(spark, d, None)
+    g = trade(spark, d)
     return centrality.louvain(g.nodes, g.collapsed())
 
 
 @query("q_bridge_score")
 def q_bridge_score(spark, d):
-    g = trade(spark, d, None)
+    g = trade(spark, d)
     e = g.collapsed()
     return centrality.bridge_scores(g.nodes, e, centrality.louvain(g.nodes, e), centrality.path_metrics(g.nodes, e)).withColumn("bridge_score", R("bridge_score"))
 
 
 @query("q_all_metrics")
 def q_all_metrics(spark, d):
-    return centrality.all_metrics(trade(spark, d, None)).nodes
+    return centrality.all_metrics(trade(spark, d)).nodes
 
 
 @query("q_all_edge_metrics")
 def q_all_edge_metrics(spark, d):
-    return centrality.all_metrics(trade(spark, d, None)).edges
+    return centrality.all_metrics(trade(spark, d)).edges
 
 
 @query("q_demo_path_optimal")
 def q_demo_path_optimal(spark, d):
-    return enrich.demo_path(centrality.all_metrics(trade(spark, d, None)), 1)
+    return enrich.demo_path(centrality.all_metrics(trade(spark, d)), 1)
 
 
 @query("q_demo_path_critical")
 def q_demo_path_critical(spark, d):
-    return enrich.demo_path(centrality.all_metrics(trade(spark, d, None)), 3)
+    return enrich.demo_path(centrality.all_metrics(trade(spark, d)), 3)
 
 
 @query("q_cycles", f"{T}, used AS (SELECT source, target FROM edges WHERE type IN ('PREREQUISITE', 'ELABORATES', 'PARALLEL')), r AS (SELECT source AS a, target AS b FROM used WHERE source <> target UNION SELECT r.a, u.target FROM r JOIN used u ON u.source = r.b) SELECT n.id, coalesce((SELECT min(x.b) FROM r x JOIN r y ON x.a = n.id AND y.a = x.b AND y.b = n.id), n.id) AS scc FROM nodes n")

@@ -217,6 +217,20 @@ def q_cluster_sizes(spark, d):
     return quality.cluster_sizes(trade(spark, d).nodes)
 
 
+@query("q_distinct_clusters", f"{T} SELECT DISTINCT node_offset % 7 AS cluster_id FROM nodes WHERE node_offset % 7 <> 3")
+def q_distinct_clusters(spark, d):
+    k = F.col("node_offset") % 7
+    return quality.distinct_clusters(trade(spark, d).nodes.withColumn("cluster_id", F.when(k != 3, k)))
+
+
+@query("q_cluster_statistics", f"{T}, {WEIGHED}, b AS (SELECT id, CASE WHEN node_offset % 7 <> 3 THEN cluster_id END AS k, pagerank / (SELECT max(pagerank) FROM weighed) AS s FROM weighed) SELECT (SELECT count(DISTINCT k) FROM b) AS clusters, (SELECT count(*) FROM b WHERE s > 0.7) AS bridge_nodes, (SELECT count(*) FROM edges e JOIN b x ON x.id = e.source JOIN b y ON y.id = e.target WHERE x.k <> y.k) AS inter_cluster_edges")
+def q_cluster_statistics(spark, d):
+    g = trade(spark, d)
+    n = weighed(g).withColumn("cluster_id", F.when(F.col("node_offset") % 7 != 3, F.col("cluster_id")))
+    n = n.crossJoin(n.agg(F.max("pagerank").alias("most"))).withColumn("bridge_score", F.col("pagerank") / F.col("most"))  # one row on the right
+    return quality.cluster_statistics(n, g.edges)
+
+
 @query("q_singletons", f"{T} SELECT k AS cluster_id, count(*) AS n FROM (SELECT node_offset // 2 + difficulty AS k FROM nodes) GROUP BY 1 HAVING count(*) = 1")
 def q_singletons(spark, d):
     n = trade(spark, d).nodes.select((F.floor(F.col("node_offset") / 2) + F.col("difficulty")).alias("cluster_id"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import boundaries
 from ..functions import columns as C
 from ..graph import first_wins
-from ..operators import build, enrich, relational, similarity, slicing
+from ..operators import build, enrich, refine, relational, similarity, slicing
 from .fixtures import CONCEPTS_SQL, TRADE_SQL, concepts, table, trade
 from .registry import query
 
@@ -94,7 +94,11 @@ def q_soft_boundary(spark, d):
     return table(spark, d, "documents").select("doc_id", soft("text").alias("boundary"))
 
 
-@query("q_token_counts")
+#: The tokens of boundaries.TOKEN as SQL's expressions write them.
+TOKENS = r"regexp_extract_all(text, '[\s]?[\p{L}\p{N}_]{1,6}|[\s]|[^\p{L}\p{N}_\s]')"
+
+
+@query("q_token_counts", f"SELECT doc_id, coalesce(len({TOKENS}), 0)::INTEGER AS tokens FROM documents")
 def q_token_counts(spark, d):
     @F.pandas_udf("int")
     def count(s):
@@ -103,6 +107,22 @@ def q_token_counts(spark, d):
     return table(spark, d, "documents").select("doc_id", count("text").alias("tokens"))
 
 
+@query("q_truncated", f"SELECT doc_id, md5(CASE WHEN len({TOKENS}) > 300 THEN array_to_string({TOKENS}[:250], '') ELSE text END) AS digest FROM documents")
+def q_truncated(spark, d):
+    @F.pandas_udf("string")
+    def cut(s):
+        return s.map(lambda t: None if t is None else boundaries.truncated(t, 300, 250))
+
+    return table(spark, d, "documents").select("doc_id", F.md5(cut("text").cast("binary")).alias("digest"))
+
+
+@query("q_usage_totals", "SELECT source AS stage, count(*) AS requests, sum(n_chars)::BIGINT AS input_tokens, sum(CASE WHEN doc_id % 5 = 0 THEN 0 ELSE doc_id % 100 END)::BIGINT AS output_tokens FROM documents GROUP BY 1")
+def q_usage_totals(spark, d):
+    k = F.col("doc_id")
+    calls = table(spark, d, "documents").select(F.col("source").alias("stage"), F.col("n_chars").alias("input_tokens"), F.when(k % 5 == 0, None).otherwise(k % 100).alias("output_tokens"))
+    return refine.usage_totals(calls)
+
+
 WORDS = r"[^\p{L}\p{N}_]"
 
 

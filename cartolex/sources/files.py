@@ -79,8 +79,11 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return doc.select(F.posexplode("concepts").alias("p", "x")).select(F.col("p").cast("long").alias("_ord"), "x.*")
 
 
-def write_dictionary(concepts: DataFrame, path: str) -> None:
+def write_dictionary(concepts: DataFrame, path: str, stats: DataFrame | None = None) -> None:
+    """The dictionary's table, and beside it, under path + "_meta", its statistics as JSON."""
     concepts.write.mode("overwrite").parquet(path)
+    if stats is not None:
+        stats.write.mode("overwrite").json(f"{path}_meta")
 
 
 def write_duplicate_map(rows: DataFrame, path: str) -> None:
