@@ -2,6 +2,9 @@
 
 Equal windows have their anchors at equal offsets, so windows need only be compared with those of the same anchor
 hash. Neighbouring windows mostly share an anchor: there is about one for each 39 bytes.
+
+The windows of an anchor have two sides: those that begin at least LEFT bytes before it, and the others. All windows of a
+side hold some bytes more than the anchor, so equal windows also agree in their side's key, a hash of those bytes.
 """
 
 from __future__ import annotations
@@ -13,6 +16,10 @@ from . import common as c
 WINDOW, K = 100, 24
 #: k-byte hashes that a window holds.
 SPAN = WINDOW - K + 1
+#: Windows that begin at least so many bytes before their anchor are its left ones.
+LEFT = SPAN // 2
+#: From the anchor, the start of the bytes that all windows of a side hold, and how many they are.
+SIDES = ((-LEFT, LEFT + K), (0, WINDOW - LEFT + 1))
 #: Low bits of a sort key that hold the position in a block.
 _AT = 24
 
@@ -53,3 +60,14 @@ def anchors(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     with np.errstate(over="ignore"):
         context = c.mix(c.span_hash(data, first, last + WINDOW, 1) + ((at - first) * 128 + (at - last)).astype(np.uint64))
     return {"row": row[first], "at": at, "first": first, "last": last, "hash": h[at], "context": context}
+
+
+def side_starts(at: np.ndarray, first: np.ndarray, last: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window start of one side of each anchor; the side has no window where the last is the smaller."""
+    return (first, np.minimum(last, at - LEFT)) if side == 0 else (np.maximum(first, at - LEFT + 1), last)
+
+
+def side_key(data: np.ndarray, at: np.ndarray, side: int) -> np.ndarray:
+    """64-bit hashes of the bytes that all windows of a side of the anchors hold."""
+    start, size = at + SIDES[side][0], SIDES[side][1]
+    return c.hash_at(data, start, size)

@@ -214,6 +214,20 @@ def gram_hash(data: np.ndarray, k: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def hash_at(data: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of the size bytes (8 or more) from some places on; a word of 8 bytes may overlap the last one."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    body = np.ascontiguousarray(data)
+    words = np.ndarray((len(body) - 7,), "<u8", body.data, 0, (1,))
+    h = np.full(len(start), size, np.uint64)
+    with np.errstate(over="ignore"):
+        for at in [*range(0, size - 8, 8), size - 8]:
+            h = (h ^ words[start + at]) * np.uint64(0x9FB21C651E98DF25)
+            h ^= h >> np.uint64(32)
+    return mix(h)
+
+
 def tree_sum(parts: DataFrame, dtype: str, fan: int = 32) -> np.ndarray | None:
     """The sum of the vectors in column v (bytes of dtype, all of one length) of (k long, v binary), or None without rows.
 

@@ -3,10 +3,11 @@
 1. Each text is swept for its anchors (see anchors.py). An anchor's context is the bytes of all windows that have it.
    Equal contexts (equal in 126 bits of two independent hashes, of the anchor and of the whole) are one: all but the
    earliest are covered whole, and their texts need not travel.
-2. Contexts that share an anchor but differ may still share windows. Their texts are dealt to shards by the anchor's
-   hash. A shard builds run-length indexes of earlier contexts and streams the later ones' matching statistics through
-   them; a window whose match is as long as a window is located by the sampled run ends, compared byte by byte, marked.
-   An anchor hash with too many contexts for one shard has its windows for contexts, which are equal or share nothing.
+2. Contexts that share an anchor but differ may still share windows. Each side of a context whose key another context of
+   the anchor has is a text, dealt to shards by that key; others share no window. A shard builds run-length indexes of
+   earlier texts and streams the later ones' matching statistics through them; a window whose match is as long as a
+   window is located by the sampled run ends, compared byte by byte, marked. A key with too many texts for one shard has
+   its windows for texts, which are equal or share nothing.
 3. What is covered meets the texts again, and is cut out.
 """
 
@@ -21,10 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as c
-from .anchors import WINDOW, anchors
+from .anchors import WINDOW, anchors, side_key, side_starts
 
-#: Contexts of one anchor hash in a shard; those of a larger group are compared window by window.
+#: Texts of one key in a shard; those of a larger group are compared window by window.
 GROUP = 2048
+#: Contexts of one anchor hash that a task holds to compare their keys; those of more are all compared window by window.
+HELD = 1 << 18
 #: Bytes of contexts that a shard holds, about.
 SHARD_BYTES = 1 << 19
 #: Text that is swept at a time; longer texts are swept in pieces that overlap by a window.
@@ -239,7 +242,7 @@ def spans(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np
     return doc[first], a[first], top[np.append(first[1:], len(doc)) - 1]
 
 
-_MAPPED = "k long, doc long, at long, span int, context long"
+_MAPPED = "k long, doc long, at long, span long, context long"
 _FOUND = "doc long, a long, b long, hash long"
 
 
@@ -260,6 +263,21 @@ def _pieces(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
             yield doc[k : k + 1], part, np.array([0, len(part)]), np.array([at])
 
 
+#: Low bits of span: at - first and at - last in 7 bits each. Above them the keys of both sides (0: no window).
+_SPAN, _KEY = 14, 24
+
+
+def _keys(data: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """span with the sides' keys."""
+    out = (at - first) * 128 + (at - last)
+    for side in range(2):
+        lo, hi = side_starts(at, first, last, side)
+        i = np.flatnonzero(lo <= hi)
+        short = (side_key(data, at[i], side) >> np.uint64(64 - _KEY)).astype(np.int64)
+        out[i] |= np.maximum(short, 1) << (_SPAN + _KEY * side)
+    return out
+
+
 @c.task
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors of (doc, text); those of equal contexts in one block are covered at once, but for the earliest."""
@@ -274,69 +292,85 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h, ctx = x["hash"][order], x["context"][order]
             head = np.concatenate([[True], (h[1:] != h[:-1]) | (ctx[1:] != ctx[:-1])])
             i, j = order[head], order[~head]
-            span = (x["at"] - x["first"]) * 128 + (x["at"] - x["last"])
-            yield _batch(["k", "doc", "at", "span", "context"], x["hash"][i].view(np.int64), d[i], (x["at"] + shift)[i], span[i].astype(np.int32), x["context"][i].view(np.int64))
+            span = _keys(data, x["at"], x["first"], x["last"])
+            yield _batch(["k", "doc", "at", "span", "context"], x["hash"][i].view(np.int64), d[i], (x["at"] + shift)[i], span[i], x["context"][i].view(np.int64))
             if len(j):
                 dd, a, e = spans(d[j], (x["first"] + shift)[j], (x["last"] + shift)[j] + WINDOW)
-                yield _batch(["k", "doc", "at", "span", "context"], c.mix(dd.astype(np.uint64) + a.astype(np.uint64)).view(np.int64), dd, a, np.full(len(dd), -1, np.int32), e)
+                yield _batch(["k", "doc", "at", "span", "context"], c.mix(dd.astype(np.uint64) + a.astype(np.uint64)).view(np.int64), dd, a, np.full(len(dd), -1), e)
+
+
+def _marked(k: np.ndarray, span: np.ndarray, group: int) -> np.ndarray:
+    """For distinct contexts in the order of k: span without keys, and above it two bits for each side: 1 where another
+    context of k has the side's key, 2 where more than group have it."""
+    dense = np.cumsum(np.concatenate([[0], k[1:] != k[:-1]]))
+    out = span & ((1 << _SPAN) - 1)
+    for side in range(2):
+        key = span >> (_SPAN + _KEY * side) & ((1 << _KEY) - 1)
+        _, which, size = np.unique(dense << _KEY | key, return_inverse=True, return_counts=True)
+        size = np.where(key > 0, size[which], 0)
+        out |= ((size > 1) * np.where(size > group, 2, 1)) << (_SPAN + 2 * side)
+    return out
 
 
-@c.task
-def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of _sweep sorted by (k, context, doc, at). Out: covered spans (hash null), and the first of each context of
-    an anchor hash with several: (doc, at, span, hash)."""
-    last_k = last_context = None
-    held: tuple | None = None  # the only context of the last hash so far
-    several = False
-    for b in batches:
-        k, doc, at, span, ctx = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-        if not len(k):
-            continue
-        done = span < 0
-        out_doc, out_a, out_b = [doc[done]], [at[done]], [ctx[done]]
-        k, doc, at, span, ctx = k[~done], doc[~done], at[~done], span[~done].astype(np.int64), ctx[~done]
-        if len(k):
-            new_k = np.concatenate([[last_k is None or k[0] != last_k], k[1:] != k[:-1]])
-            new = new_k | np.concatenate([[last_context is None or ctx[0] != last_context], ctx[1:] != ctx[:-1]])
-            old = ~new
-            out_doc.append(doc[old])
-            out_a.append((at - span // 128)[old])
-            out_b.append((at - span % 128)[old] + WINDOW)
-            head = np.flatnonzero(new)
-            group = np.cumsum(new_k)  # 0: still the last batch's hash
-            size = np.bincount(group[head], minlength=group[-1] + 1)
-            carried = 1 if held is not None else 2 if several else 0
-            size[0] += carried
-            want = head[(size[group[head]] > 1) & ((group[head] < group[-1]) | (size[group[head]] > 1))]
-            extra = []
-            if held is not None and size[0] > 1:
-                extra.append(held)
-                held, several = None, True
-            elif held is not None and group[-1] > 0:
-                held = None
-            if group[-1] > 0:
-                several = size[group[-1]] > 1
-                alone = head[group[head] == group[-1]]
-                held = None if several else (doc[alone[0]], at[alone[0]], span[alone[0]], k[alone[0]])
-            elif size[0] == 1 and held is None and len(head):
-                held = (doc[head[0]], at[head[0]], span[head[0]], k[head[0]])
-            else:
-                several = several or size[0] > 1
-            last_k, last_context = k[-1], ctx[-1]
-            rows = [np.concatenate([x[want], np.array([e[i] for e in extra], np.int64)]) for i, x in enumerate((doc, at, span, k))]
-            if len(rows[0]):
-                yield _batch(["doc", "a", "b", "hash"], *rows)
-        d, a, e = np.concatenate(out_doc), np.concatenate(out_a), np.concatenate(out_b)
-        if len(d):
-            d, a, e = spans(d, a, e)
-            yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(a), pa.array(e), pa.nulls(len(d), pa.int64())], ["doc", "a", "b", "hash"])
+def _group(group: int):
+    """Rows of _sweep sorted by (k, context, doc, at). Out: covered spans (hash null), and of the first of each context of
+    an anchor hash those that may share windows with another: (doc, at, span, hash), the span as _marked() has it."""
+
+    @c.task
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple | None = None
+        held = np.zeros((4, 0), np.int64)  # k, doc, at, span of the contexts of the last hash so far
+        flood: int | None = None  # a hash with more contexts than are held
+        everything = 2 << _SPAN | 2 << _SPAN + 2
+
+        def out(x: np.ndarray, marked: np.ndarray) -> Iterator[pa.RecordBatch]:
+            i = np.flatnonzero(marked >> _SPAN)
+            if len(i):
+                yield _batch(["doc", "a", "b", "hash"], x[1][i], x[2][i], marked[i], x[0][i])
+
+        for b in batches:
+            k, doc, at, span, ctx = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            if not len(k):
+                continue
+            done = span < 0
+            out_doc, out_a, out_b = [doc[done]], [at[done]], [ctx[done]]
+            k, doc, at, span, ctx = k[~done], doc[~done], at[~done], span[~done], ctx[~done]
+            if len(k):
+                new = np.concatenate([[last != (k[0], ctx[0])], (k[1:] != k[:-1]) | (ctx[1:] != ctx[:-1])])
+                last = k[-1], ctx[-1]
+                old = ~new
+                bits = span[old] & ((1 << _SPAN) - 1)
+                out_doc.append(doc[old])
+                out_a.append(at[old] - bits // 128)
+                out_b.append(at[old] - bits % 128 + WINDOW)
+                x = np.stack([k[new], doc[new], at[new], span[new]])
+                if flood is not None:
+                    n = int(np.searchsorted(x[0], flood, "right"))
+                    yield from out(x[:, :n], x[3, :n] & ((1 << _SPAN) - 1) | everything)
+                    flood, x = flood if n == x.shape[1] else None, x[:, n:]
+                x = np.concatenate([held, x], 1)
+                n = int(np.searchsorted(x[0], x[0, -1])) if x.shape[1] else 0
+                held = x[:, n:].copy()
+                if n:
+                    yield from out(x[:, :n], _marked(x[0, :n], x[3, :n], group))
+                if held.shape[1] > HELD:
+                    yield from out(held, held[3] & ((1 << _SPAN) - 1) | everything)
+                    flood, held = int(held[0, 0]), held[:, :0]
+            d, a, e = np.concatenate(out_doc), np.concatenate(out_a), np.concatenate(out_b)
+            if len(d):
+                d, a, e = spans(d, a, e)
+                yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(a), pa.array(e), pa.nulls(len(d), pa.int64())], ["doc", "a", "b", "hash"])
+        if held.shape[1]:
+            yield from out(held, _marked(held[0], held[3], group))
+
+    return run
 
 
 _CONTEXT = "k long, kind int, doc long, a long, b long, hash long, body binary"
 
 
 def _contexts(shards: int):
-    """Rows (doc, text, list of (at, span, hash, large)): the contexts' bytes for the shards, or hashes of windows."""
+    """Rows (doc, text, list of (at, span, hash)): the bytes of the contexts' sides for the shards, or hashes of windows."""
 
     names = [f.split()[0] for f in _CONTEXT.split(", ")]
 
@@ -347,16 +381,24 @@ def _contexts(shards: int):
             if isinstance(lists, pa.ChunkedArray):
                 lists = lists.combine_chunks()
             need = lists.flatten()
-            at, span, h, large = (need.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            at, span, h = (need.field(i).to_numpy(zero_copy_only=False) for i in range(3))
             row = np.repeat(np.arange(b.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            doc = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[row]
             data, off = c.raw(c.fill(b.column(1)))
-            first, last = at - span // 128, at - span % 128
-            i = np.flatnonzero(~large.astype(bool))
+            bits = span & ((1 << _SPAN) - 1)
+            sides = []
+            for side in range(2):
+                how = span >> (_SPAN + 2 * side) & 3
+                lo, hi = side_starts(at, at - bits // 128, at - bits % 128, side)
+                i = np.flatnonzero((how > 0) & (lo <= hi))
+                key = c.mix(h[i].view(np.uint64) ^ side_key(data, off[row[i]] + at[i], side) + np.uint64(side))
+                sides.append((row[i], lo[i], hi[i], key.view(np.int64), how[i] == 2))
+            row, first, last, key, large = (np.concatenate(x) for x in zip(*sides, strict=True))
+            doc = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[row]
+            i = np.flatnonzero(~large)
             lo, hi = (off[row] + first).tolist(), (off[row] + last + WINDOW).tolist()
             whole = data.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array((c.mix(h[i].view(np.uint64)) % np.uint64(shards)).astype(np.int64)), pa.array(np.ones(len(i), np.int32)), pa.array(doc[i]), pa.array(first[i]), pa.array(last[i]), pa.array(h[i]), pa.array([whole[lo[j] : hi[j]] for j in i], pa.binary())],
+                [pa.array((c.mix(key[i].view(np.uint64)) % np.uint64(shards)).astype(np.int64)), pa.array(np.ones(len(i), np.int32)), pa.array(doc[i]), pa.array(first[i]), pa.array(last[i]), pa.array(key[i]), pa.array([whole[lo[j] : hi[j]] for j in i.tolist()], pa.binary())],
                 names,
             )
             j = np.flatnonzero(large)
@@ -395,16 +437,16 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(["doc", "a", "b"], doc[zero].astype(np.int64), a[zero], e[zero])
         one = np.flatnonzero(kind == 1)
         if len(one):
-            body, h = b.column(6), b.column(5).fill_null(0).to_numpy(zero_copy_only=False)
-            for i in one.tolist():
-                if k[i] != now:
+            rows = b.take(pa.array(one))
+            for shard, d, at, key, text in zip(*(rows.column(i).to_pylist() for i in (0, 2, 3, 5, 6)), strict=True):
+                if shard != now:
                     if (out := flush()) is not None:
                         yield out
-                    now, docs, starts, keys, texts = k[i], [], [], [], []
-                docs.append(doc[i])
-                keys.append(int(h[i]))
-                starts.append(a[i])
-                texts.append(body[i].as_py())
+                    now, docs, starts, keys, texts = shard, [], [], [], []
+                docs.append(d)
+                keys.append(key)
+                starts.append(at)
+                texts.append(text)
         two = np.flatnonzero(kind == 2)
         if len(two):
             w, w2 = k[two], b.column(5).take(pa.array(two)).to_numpy(zero_copy_only=False)
@@ -459,11 +501,10 @@ def covered(docs: DataFrame, group: int = GROUP) -> DataFrame:
     spark = docs.sparkSession
     n = max(c.parts_for(docs, 8), int(spark.conf.get("spark.sql.shuffle.partitions")))
     swept = docs.select("doc", "text").mapInArrow(_sweep, _MAPPED)
-    found = c.cut(swept.repartition(n, "k").sortWithinPartitions("k", "context", "doc", "at").mapInArrow(_group, _FOUND), "anchors")
+    found = c.cut(swept.repartition(n, "k").sortWithinPartitions("k", "context", "doc", "at").mapInArrow(_group(group), _FOUND), "anchors")
     need = found.where("hash IS NOT NULL")
-    large = need.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("hash", F.lit(True).alias("large"))
     shards = max(1, need.count() * 135 // SHARD_BYTES)
-    lists = need.join(large, "hash", "left").groupBy("doc").agg(F.collect_list(F.struct(F.col("a").alias("at"), F.col("b").alias("span"), "hash", F.coalesce("large", F.lit(False)).alias("large"))).alias("need"))
+    lists = need.groupBy("doc").agg(F.collect_list(F.struct(F.col("a").alias("at"), F.col("b").alias("span"), "hash")).alias("need"))
     context = docs.select("doc", "text").join(lists, "doc").select("doc", "text", "need").mapInArrow(_contexts(shards), _CONTEXT)
     more = context.repartition(n, "k").sortWithinPartitions("kind", "k", "hash", "doc", "a").mapInArrow(_shards, "doc long, a long, b long")
     return found.where("hash IS NULL").select("doc", "a", "b").unionByName(more)

@@ -409,6 +409,47 @@ def test_runs_are_fewer_than_symbols_in_repetitive_texts():
     assert set(zip(who.tolist(), start.tolist(), strict=True)) == {(0, i) for i in range(21)}
 
 
+def test_texts_that_share_an_anchor_but_no_window_are_not_indexed(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    some = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    phrase, passage = some(60), some(130)
+    texts = [some(120) + (passage if i in (70, 200) else phrase) + some(120) for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    shards, plain = [], runindex._contexts
+    monkeypatch.setattr(runindex, "SHARD_BYTES", 135)  # one shard for each context that is indexed
+    monkeypatch.setattr(runindex, "_contexts", lambda n: shards.append(n) or plain(min(n, 4)))
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows(runindex.remove_repeats(df))}
+    assert got == dict(enumerate(brute_repeats(texts))) and got[200][1] >= 130
+    assert len(shards) == 1 and shards[0] < 20
+
+
+@pytest.mark.parametrize("held", [0, 3, 1 << 18])
+@pytest.mark.parametrize("group", [0, 3, 2048])
+def test_anchors_of_more_contexts_than_a_task_holds(monkeypatch, held, group):
+    import pyarrow as pa
+
+    monkeypatch.setattr(runindex, "HELD", held)
+    texts = passages(60, 12) + ["x" * n + passages(3, 13)[0][:90] + "y" * (200 - n) for n in range(40)]
+    table = lambda batches: pa.Table.from_batches(list(batches))
+    ordered = lambda t, *by: t.sort_by([(x, "ascending") for x in by]).to_batches(max_chunksize=9)
+    cover = [bytearray(len(t.encode())) for t in texts]
+
+    def mark(t):
+        for d, a, b in zip(*(t.column(x).to_pylist() for x in ("doc", "a", "b")), strict=True):
+            cover[d][a:b] = b"\1" * (b - a)
+
+    swept = table(x for i in range(0, len(texts), 7) for x in runindex._sweep([pa.RecordBatch.from_pydict({"doc": list(range(i, i + 7))[: len(texts) - i], "text": texts[i : i + 7]})]))
+    found = table(runindex._group(group)(ordered(swept, "k", "context", "doc", "at")))
+    mark(found.filter(pa.compute.is_null(found["hash"])))
+    need = {}
+    for r in found.filter(pa.compute.is_valid(found["hash"])).to_pylist():
+        need.setdefault(r["doc"], []).append({"at": r["a"], "span": r["b"], "hash": r["hash"]})
+    fields = pa.list_(pa.struct([(x, pa.int64()) for x in ("at", "span", "hash")]))
+    asked = pa.RecordBatch.from_arrays([pa.array(list(need)), pa.array([texts[d] for d in need]), pa.array(list(need.values()), fields)], ["doc", "text", "need"])
+    mark(table(runindex._shards(ordered(table(runindex._contexts(3)([asked])), "kind", "k", "hash", "doc", "a"))))
+    assert [sum(x) for x in cover] == [x[1] for x in brute_repeats(texts)]
+
+
 # 9 secrets
 
 
