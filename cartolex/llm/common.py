@@ -160,10 +160,10 @@ def _cumulated(q: int, size: int) -> np.ndarray:
     return x[:size]
 
 
-def _power(q: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _power(q: int, n: int, least: int = BLOCK_BYTES + 65536) -> tuple[np.ndarray, np.ndarray]:
     have = _powers.get(q)
     if have is None or len(have[0]) < n:
-        size = max(n + n // 4, BLOCK_BYTES + 65536)
+        size = max(n + n // 4, least)
         have = _cumulated(q, size), _cumulated(pow(q, -1, PRIME), size)
         if size <= 4 * BLOCK_BYTES:
             _powers[q] = have
@@ -178,8 +178,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0, least: int = BLOCK_BYTES + 65536) -> np.ndarray:
     """64-bit hashes of data[start:end]: two polynomials modulo a prime, from prefix sums, scrambled with the length.
+    least: powers that are computed at once and kept, 32 bytes each, if data is no longer; the hashes are the same.
 
     They depend on the contents alone. Strings of equal length that differ agree by chance only (about 2**-62); strings
     that agree under every polynomial modulo a power of two, as Thue-Morse strings do, differ here.
@@ -188,7 +189,7 @@ def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int =
         return np.zeros(0, np.uint64)
     lanes = []
     for q in POINTS[which]:
-        up, down = _power(q, len(data) + 1)
+        up, down = _power(q, len(data) + 1, least)
         x = (data.astype(np.uint64) + np.uint64(1)) * up[: len(data)]
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((x & np.uint64(PRIME)) + (x >> np.uint64(31)), out=total[1:])

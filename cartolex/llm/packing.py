@@ -6,6 +6,7 @@ dealt to groups by a hash of their contents and packed group by group, so that a
 
 from __future__ import annotations
 
+import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -23,6 +24,8 @@ CAPACITY = 2048
 GROUP = 4096
 #: Words whose ids a Python worker remembers, at most (some 40 bytes each); beyond it starts anew.
 REMEMBERED = 500_000
+#: Texts are tokenized in blocks of about so many bytes; a worker holds some 130 bytes for each of them.
+BLOCK = 1 << 18
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Characters below this are split here; a text with any other goes to the tokenizer as it is.
 PLAIN = 0x250
@@ -54,10 +57,10 @@ class Words:
 
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.single = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        for t in (self.tokenizer, self.single):
-            t.no_truncation()
-        # For words that are already normalized and split: white space is all that parts them.
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        # For words that are already normalized and split: white space is all that parts them. Both share one model.
+        self.single = Tokenizer(self.tokenizer.model)
         self.single.normalizer = normalizers.Sequence([])
         self.single.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
@@ -110,7 +113,7 @@ class Words:
         solid = kind[at] > 0
         at, stop = at[solid], stop[solid]
         ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
-        h, first, which = np.unique(c.span_hash(x, at, stop), return_index=True, return_inverse=True)
+        h, first, which = np.unique(c.span_hash(x, at, stop, least=BLOCK), return_index=True, return_inverse=True)
         for _ in range(2):
             at0 = np.searchsorted(self.keys, h)
             known = self.keys[np.minimum(at0, len(self.keys) - 1)] == h if len(self.keys) else np.zeros(len(h), bool)
@@ -134,6 +137,8 @@ _loaded: dict[str, Words] = {}
 
 
 def words(path: str) -> Words:
+    # A task has one core, and each thread of the tokenizer would keep a heap of its own.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _loaded:
         _loaded[path] = Words(path)
     return _loaded[path]
@@ -149,7 +154,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     @c.task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = words(tokenizer).encode
-        for b in c.blocks(batches):
+        for b in c.blocks(batches, limit=BLOCK):
             rows = []
             for doc, ids in zip(b.column(0).to_pylist(), encode([t or "" for t in b.column(1).to_pylist()]), strict=True):
                 ids += end

@@ -107,6 +107,46 @@ def test_pieces_are_the_tokenizers(spark, odd, none):
     assert rows(packing.pack_documents(none, path)) == []
 
 
+WORKER = """
+import re, sys
+from pathlib import Path
+from unittest import mock
+import numpy as np, pandas, pyarrow as pa
+from cartolex.llm import common, packing
+
+def mb(what):
+    return int(re.search(what + r":\\s+(\\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+rng = np.random.default_rng(1)
+known = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(2, 10, 40000)]
+text = lambda k: " ".join(known[i] for i in rng.integers(0, 40000, 300)) + "'s" * (k % 10 == 0)
+batches = [pa.RecordBatch.from_pydict({"doc_id": pa.array(range(1000), pa.int64()), "text": pa.array(map(text, range(1000)))}) for _ in range(3)]
+docs = mock.MagicMock()
+packing.F = mock.MagicMock()
+packing.pieces(docs, sys.argv[1])
+run = docs.select.return_value.mapInArrow.call_args[0][0]
+common.tidy()
+before = mb("VmRSS")
+Path("/proc/self/clear_refs").write_text("5")
+assert sum(b.num_rows for b in run(iter(batches))) >= 3000
+print(mb("VmHWM") - before, mb("VmRSS") - before)
+"""
+
+
+def test_tokenizing_takes_little_of_a_workers_memory():
+    import subprocess
+    import sys
+
+    if not os.path.exists("/proc/self/clear_refs"):
+        pytest.skip("peaks of memory can't be read here")
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"} | {"PYTHONPATH": root}
+    out = subprocess.run([sys.executable, "-c", WORKER, tokenizer()], env=env, capture_output=True, text=True, timeout=300, check=True).stdout
+    most, kept = map(float, out.split()[-2:])
+    assert most < 100, "MB that a task takes at most"
+    assert kept < 45, "MB that the worker keeps after it"
+
+
 # 2 embeddings
 
 VEC = "vec_id long, embedding array<float>, label int"
