@@ -20,7 +20,7 @@ LINK_TYPES = ("PREREQUISITE", "ELABORATES", "EXAMPLE_OF", "TESTS")
 
 def _links(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """concept, id: a Concept and a neighbour in either direction, over edges of every type."""
-    concepts = nodes.where("type = 'Concept'").select(F.col("id").alias("concept"))
+    concepts = scratch.shared(scratch.settle(nodes.where("type = 'Concept'").select(F.col("id").alias("concept")).distinct(), "concepts"))
     pair = lambda a, b: edges.select(F.col(a).alias("concept"), F.col(b).alias("id"))
     return pair("source", "target").unionByName(pair("target", "source")).join(concepts, "concept", "left_semi").distinct()
 
