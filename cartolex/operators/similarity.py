@@ -15,32 +15,153 @@ from ..graph import endpoints_in, first_wins
 from .. import scratch
 from . import fixpoint, relational
 
-#: Vectors in a block: two blocks and their products are what a task holds.
+#: Vectors in a block: what two blocks have in products is held at once.
 BLOCK = 2000
 #: Length of the stand-in embeddings.
 DIM = 256
-
-
 #: Cells that vectors are dealt to, at most: so many of them are held by each task, as the centres.
 CELLS = 1024
+#: Bytes of a part's vectors: a task holds two parts. There are PARTS or more where blocks are so many.
+PART_BYTES, PARTS = 8 << 20, 8
+#: Products that are found again in double precision at once.
+PRODUCTS = 1 << 16
+
+
+class _Best:
+    """Vectors and the k best others of each so far: j and similarity, of equal ones the smaller j; least is the k-th."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, least: np.ndarray | None = None) -> None:
+        self.ids, self.x, self.k = ids, x, k
+        self.exact = x.astype(np.float64, copy=False)
+        finite = np.isfinite(self.exact).all(1)
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.norm = np.where(finite, np.sqrt((self.exact * self.exact).sum(1)), 0.0)
+            self.centre = np.where(finite[:, None], self.exact, 0.0).mean(0)
+            self.radius = np.sqrt(((self.exact[finite] - self.centre) ** 2).sum(1)).max(initial=0.0)
+        self.sound = bool(finite.all()) and bool(np.isfinite(self.norm).all())
+        self.most = self.norm.max(initial=0.0)
+        self.least = np.full(len(ids), -np.inf) if least is None else least
+        self.j, self.s = np.full((len(ids), k), np.iinfo(np.int64).max), np.full((len(ids), k), -np.inf)
+
+    def worth(self, other: _Best) -> np.ndarray:
+        """Which rows may have one of their best in the other block: no member's product with x exceeds that of the centre
+        by more than |x| times the radius."""
+        with np.errstate(all="ignore"):
+            bound = self.exact @ other.centre + self.norm * (other.radius * (1 + 1e-9)) + 1e-9 * (1 + self.norm * other.most)
+        return ~(bound < self.least)
+
+    def offer(self, rows: np.ndarray, other: _Best, columns: np.ndarray) -> None:
+        """Take what is best of these pairs, whose products are found exactly (rounded to 12 digits)."""
+        for at in range(0, len(rows), PRODUCTS):
+            r, c = rows[at : at + PRODUCTS], columns[at : at + PRODUCTS]
+            with np.errstate(all="ignore"):
+                s = np.round(np.einsum("ij,ij->i", self.exact[r], other.exact[c]), 12)
+            j = other.ids[c]
+            new = (s >= self.least[r]) & np.isfinite(s) & (j != self.ids[r])
+            r, s, j = r[new], s[new], j[new]
+            if not len(r):
+                continue
+            own = np.unique(r)
+            r, s, j = np.concatenate([r, np.repeat(own, self.k)]), np.concatenate([s, self.s[own].ravel()]), np.concatenate([j, self.j[own].ravel()])
+            order = np.lexsort((j, -s, r))
+            r, s, j = r[order], s[order], j[order]
+            place = np.arange(len(r)) - np.searchsorted(r, r)
+            kept = place < self.k
+            self.s[r[kept], place[kept]], self.j[r[kept], place[kept]] = s[kept], j[kept]
+            self.least[own] = np.maximum(self.least[own], self.s[own, -1])
+
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """i, j, similarity of all that was taken."""
+        row, column = np.nonzero(np.isfinite(self.s))
+        return self.ids[row], self.j[row, column], self.s[row, column]
+
+
+def _meet(a: _Best, b: _Best, both: bool = True) -> None:
+    """Offer a the vectors of b, and b those of a: products in single precision tell which pairs are worth an exact one."""
+    rows, columns = a.worth(b), b.worth(a) if both else np.zeros(len(b.ids), bool)
+    single = max(a.most, b.most) < 1e15
+    unit = 2.0**-24 if single else 2.0**-53
+    slack = 1.1 * (a.x.shape[1] + 8) * unit
+    kind = np.float32 if single else np.float64
+    x, y = a.x.astype(kind, copy=False), b.x.astype(kind, copy=False)
+    with np.errstate(all="ignore"):
+        low_a = a.least - slack * a.norm * b.most - 1e-30
+        low_b = b.least - slack * b.norm * a.most - 1e-30
+        low_a, low_b = (np.where(np.isnan(v), -np.inf, v) for v in (low_a, low_b))
+        if rows.sum() * len(columns) + columns.sum() * len(rows) >= len(rows) * len(columns):
+            products = x @ y.T
+            if rows.any():
+                if a.sound and b.sound:
+                    low_a = _raised(low_a, products, a, slack * a.norm * b.most)
+                r, c = np.nonzero(products >= _below(low_a, kind)[:, None])
+                a.offer(r, b, c)
+            if columns.any():
+                if a.sound and b.sound:
+                    low_b = _raised(low_b, products.T, b, slack * b.norm * a.most)
+                r, c = np.nonzero(products >= _below(low_b, kind)[None])
+                b.offer(c, a, r)
+            return
+        for me, mine, other, its, low, some in ((a, x, b, y, low_a, np.flatnonzero(rows)), (b, y, a, x, low_b, np.flatnonzero(columns))):
+            if len(some):
+                r, c = np.nonzero(mine[some] @ its.T >= _below(low[some], kind)[:, None])
+                me.offer(some[r], other, c)
+
+
+def _raised(low: np.ndarray, products: np.ndarray, me: _Best, slack: np.ndarray) -> np.ndarray:
+    """low, where nothing is known of the k-th best yet, raised to what k of these products exceed (one may be its own)."""
+    new = np.flatnonzero(me.least == -np.inf)
+    at = products.shape[1] - me.k - 1
+    if not len(new) or at < 0:
+        return low
+    low = low.copy()
+    low[new] = np.partition(products[new], at, axis=1)[:, at].astype(np.float64) - 2 * slack[new] - 1e-11
+    return low
+
+
+def _below(v: np.ndarray, kind: type) -> np.ndarray:
+    """No more than v in the precision asked for."""
+    return np.nextafter(v.astype(kind), kind(-np.inf))
+
+
+#: Blocks with the nearest that their vectors have in the same part, as bytes of arrays.
+BLOCKS = "part int, ids binary, vecs binary, least binary, j binary, s binary"
+
+
+def _packed(k: int, block: int, kind: type):
+    """A part as blocks of one cell each, whose vectors have met all others of the part."""
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values(["cell", "i"])
+        x, ids, cell = np.stack([np.asarray(v, dtype=kind) for v in g["vec"]]), g["i"].to_numpy(), g["cell"].to_numpy()
+        starts = np.flatnonzero(np.diff(cell, prepend=cell[0] - 1))
+        cuts = [(a, min(a + block, b)) for p, b in zip(starts, [*starts[1:], len(cell)], strict=True) for a in range(p, b, block)]
+        best = [_Best(ids[a:b], x[a:b], k) for a, b in cuts]
+        for b in best:
+            _meet(b, b, False)
+        for n, a in enumerate(best):
+            for b in best[n + 1 :]:
+                _meet(a, b)
+        rows = [(b.ids.tobytes(), b.x.tobytes(), b.least.tobytes(), b.j.tobytes(), b.s.tobytes()) for b in best]
+        return pd.DataFrame([(int(g["part"].iloc[0]), *r) for r in rows], columns=["part", "ids", "vecs", "least", "j", "s"])
+
+    return run
 
 
-def _best(k: int):
-    """The k best of each query (side 0) among the members (side 1) of a unit; of equal ones the smaller j."""
+def _met(k: int, kind: type):
+    """What the vectors of two parts have in each other."""
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        a, b = g[g["side"] == 0], g[g["side"] == 1].sort_values("i")
-        if a.empty or b.empty:
-            return pd.DataFrame({"i": [], "j": [], "similarity": []})
-        x, y = (np.stack([np.asarray(v, dtype=np.float64) for v in s["vec"]]) for s in (a, b))
-        sims = np.round(x @ y.T, 12)
-        ids, others = a["i"].to_numpy(), b["i"].to_numpy()
-        sims[ids[:, None] == others[None]] = -np.inf
-        top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-        rows = np.repeat(np.arange(len(ids)), top.shape[1])
-        flat = top.ravel()
-        out = pd.DataFrame({"i": ids[rows], "j": others[flat], "similarity": sims[rows, flat]})
-        return out[np.isfinite(out["similarity"])]
+        sides: dict[int, list[_Best]] = {}
+        for r in g.itertuples():
+            ids = np.frombuffer(r.ids, np.int64)
+            sides.setdefault(r.part, []).append(_Best(ids, np.frombuffer(r.vecs, kind).reshape(len(ids), -1), k, np.frombuffer(r.least, np.float64).copy()))
+        if len(sides) == 2:
+            first, second = sides.values()
+            for a in first:
+                for b in second:
+                    _meet(a, b)
+        found = [b.table() for side in sides.values() for b in side]
+        return pd.DataFrame({n: np.concatenate([f[at] for f in found]) for at, n in enumerate(("i", "j", "similarity"))})
 
     return run
 
@@ -48,64 +169,66 @@ def _best(k: int):
 def nearest(vectors: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
     """i, j, similarity: for each vector (i, vec) the k others of the largest inner product, ties to the smaller j.
 
-    Exact. Vectors are dealt to the cell of the nearest of some of them (CELLS at most), and cells to blocks of bounded
-    size. A vector's k best in its own block bound what is worth having; then it visits only the cells that can hold as
-    much, since no member's product with x exceeds that of the cell's centre by more than |x| times the cell's radius.
-    Products in double precision are rounded to 12 digits so that ties do not hang on rounding.
+    Exact, and all pairs where nothing sets vectors apart: bounded in what a task holds and sends. Vectors are dealt to
+    the cell of the nearest of some of them (CELLS at most), and cells to parts of bounded bytes. A part finds its own
+    nearest; then each two parts meet in one task, block by block. What a vector's k-th nearest so far can't be beaten by
+    is left out: a block whose centre and radius tell so, then pairs whose products in single precision do. Products in
+    double precision are rounded to 12 digits so that ties do not hang on rounding. Each part is sent once for each other.
     """
-    spark = vectors.sparkSession
     n = vectors.count()
-    place = F.row_number().over(W.partitionBy("i").orderBy(F.desc("similarity"), "j"))
-    if n <= block:  # one cell of one block: there is nothing else to visit
-        both = vectors.select(F.lit(0).alias("cell"), F.explode(F.array(F.lit(0), F.lit(1))).alias("side"), "i", "vec")
-        return both.groupBy("cell").applyInPandas(_best(k), "i long, j long, similarity double").withColumn("place", place).where(F.col("place") <= k).drop("place")
-    cells = min(CELLS, -(-n // block))
+    name = vectors.schema["vec"].dataType.simpleString()
+    kind = np.float32 if name == "array<float>" else np.float64
+    size = np.dtype(kind).itemsize
+    if n <= block:  # one block: there is nothing else to meet
+        parts, dealt = 1, vectors.select("i", "vec", F.lit(0).alias("cell"), F.lit(0).alias("part"))
+    else:
+        parts, dealt = _dealt(vectors, n, block, name, size)
+    blocks = scratch.settle(dealt.groupBy("part").applyInPandas(_packed(k, block, kind), BLOCKS), "blocks")
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in b.itertuples():
+                ids, j, s = np.frombuffer(r.ids, np.int64), np.frombuffer(r.j, np.int64), np.frombuffer(r.s, np.float64)
+                yield pd.DataFrame({"i": np.repeat(ids, k), "j": j, "similarity": s})[np.isfinite(s)]
+
+    pairs = "i long, j long, similarity double"
+    found = blocks.select("ids", "j", "s").mapInPandas(unpack, pairs)
+    if parts > 1:
+        low, high = F.least("part", "other"), F.greatest("part", "other")
+        units = blocks.select("part", "ids", "vecs", "least", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("other")).where("part <> other")
+        more = units.withColumn("unit", low * parts + high).drop("other").groupBy("unit").applyInPandas(_met(k, kind), pairs)
+        place = F.row_number().over(W.partitionBy("i").orderBy(F.desc("similarity"), "j"))
+        found = found.unionByName(more).withColumn("place", place).where(F.col("place") <= k).drop("place")
+    return scratch.settle(found, "nearest")
+
+
+def _dealt(vectors: DataFrame, n: int, block: int, name: str, size: int) -> tuple[int, DataFrame]:
+    """The number of parts, and i, vec, cell, part: large cells make several parts, small ones share one."""
     order = F.xxhash64(F.lit("centre"), "i")
-    centres = np.stack([np.asarray(r["vec"], dtype=np.float64) for r in vectors.orderBy(order).limit(cells).collect()])
+    centres = np.stack([np.asarray(r["vec"], dtype=np.float64) for r in vectors.orderBy(order).limit(min(CELLS, -(-n // block))).collect()])
     squares = (centres * centres).sum(1)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
+        for whole in batches:
+            for at in range(0, len(whole), block):
+                b = whole.iloc[at : at + block]
                 x = np.stack([np.asarray(v, dtype=np.float64) for v in b["vec"]])
-                far = squares[None] - 2 * x @ centres.T
-                cell = far.argmin(1)
-                gap = x - centres[cell]
-                yield pd.DataFrame({"i": b["i"], "vec": b["vec"], "cell": cell.astype(np.int32), "radius": np.sqrt((gap * gap).sum(1))})
-
-    kind = vectors.schema["vec"].dataType.simpleString()
-    dealt = scratch.settle(vectors.select("i", "vec").mapInPandas(deal, f"i long, vec {kind}, cell int, radius double"), "cells")
-    sizes = dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.max("radius").alias("radius")).collect()  # CELLS rows at most
-    radius, blocks = np.full(len(centres), -1.0), np.zeros(len(centres), np.int32)
-    for r in sizes:
-        radius[r["cell"]], blocks[r["cell"]] = r["radius"], r["blocks"]
-    of = F.element_at(F.array(*[F.lit(int(x)) for x in blocks]), F.col("cell") + 1)
-    own = dealt.withColumn("b", F.pmod(F.xxhash64("i"), of.cast("long")).cast("int"))
-    pair = own.select("cell", "b", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"), "i", "vec")
-    first = scratch.settle(pair.groupBy("cell", "b").applyInPandas(_best(k), "i long, j long, similarity double"), "first")
-    least = first.groupBy("i").agg(F.min("similarity").alias("least"), F.count(F.lit(1)).alias("n"))
-    known = own.join(least, "i", "left").select("i", "vec", "cell", "b", F.when(F.col("n") >= k, F.col("least")).alias("least"))
-
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in batches:
-            if len(g):
-                x = np.stack([np.asarray(v, dtype=np.float64) for v in g["vec"]])
-                most = x @ centres.T + np.sqrt((x * x).sum(1))[:, None] * radius[None] + 1e-9
-                worth = (most >= g["least"].fillna(-np.inf).to_numpy()[:, None]) & (radius >= 0)[None]
-                row, cell = np.nonzero(worth)
-                times = blocks[cell]
-                b = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                row, cell = np.repeat(row, times), np.repeat(cell, times)
-                new = (g["cell"].to_numpy()[row] != cell) | (g["b"].to_numpy()[row] != b)  # its own block is done
-                yield pd.DataFrame({"i": g["i"].to_numpy()[row[new]], "vec": g["vec"].to_numpy()[row[new]], "cell": cell[new].astype(np.int32), "b": b[new].astype(np.int32)})
-
-    # The queries of a block go in groups, so that no unit holds more than a block and about as many queries.
-    asked = scratch.settle(known.mapInPandas(visit, f"i long, vec {kind}, cell int, b int"), "asked")
-    groups = asked.groupBy("cell", "b").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("groups"))
-    queries = asked.join(groups, ["cell", "b"]).select("cell", "b", F.pmod(F.xxhash64("i"), F.col("groups").cast("long")).cast("int").alias("q"), F.lit(0).alias("side"), "i", "vec")
-    members = own.join(groups, ["cell", "b"]).select("cell", "b", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("q"), F.lit(1).alias("side"), "i", "vec")
-    found = first.unionByName(queries.unionByName(members).groupBy("cell", "b", "q").applyInPandas(_best(k), "i long, j long, similarity double"))
-    return found.withColumn("place", place).where(F.col("place") <= k).drop("place")
+                yield pd.DataFrame({"i": b["i"], "vec": b["vec"], "cell": (squares[None] - 2 * x @ centres.T).argmin(1).astype(np.int32)})
+
+    dealt = scratch.settle(vectors.select("i", "vec").mapInPandas(deal, f"i long, vec {name}, cell int"), "cells")
+    sizes = {r["cell"]: r["count"] for r in dealt.groupBy("cell").count().collect()}  # CELLS rows at most
+    most = max(block, min(PART_BYTES // (size * centres.shape[1]), -(-n // PARTS)))
+    first, pieces, parts, room = np.zeros(len(centres), int), np.ones(len(centres), int), 0, 0
+    for cell, rows in sorted(sizes.items()):
+        if rows > most:
+            first[cell], pieces[cell] = parts, -(-rows // most)
+            parts, room = parts + pieces[cell], 0
+        else:
+            if rows > room:
+                parts, room = parts + 1, most
+            first[cell], room = parts - 1, room - rows
+    of = lambda v: F.element_at(F.array(*[F.lit(int(x)) for x in v]), F.col("cell") + 1)
+    return int(parts), dealt.withColumn("part", (of(first) + F.pmod(F.xxhash64("i"), of(pieces).cast("long"))).cast("int"))
 
 
 def numbered(nodes: DataFrame) -> DataFrame:

@@ -3,7 +3,9 @@
 import random
 import time
 
-from cartolex.operators import build, enrich
+import numpy as np
+
+from cartolex.operators import build, enrich, similarity
 
 
 def shuffled(spark) -> int:
@@ -27,3 +29,33 @@ def test_no_text_goes_along_with_its_words(spark):
     assert shuffled(spark) - before < 2 * sum(len(t) for _, _, t in texts)
     nodes = chunks.select("id", "type").union(spark.createDataFrame([("t", "Concept"), ("c", "Concept")], "id string, type string"))
     assert {r["concept_id"]: r["n"] for r in enrich.concept_usage(nodes, found, d).collect()} == {"t": 8, "c": 8}
+
+
+def test_nearest_sends_each_part_once_for_each_other(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(900, 16)).astype(np.float32)
+    x[1::9], x[3] = x[0], 0  # one common vector, and one without a length
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i long, vec array<float>")
+    s = np.round(x.astype(np.float64) @ x.astype(np.float64).T, 12)
+    np.fill_diagonal(s, -np.inf)
+    want = {(i, int(j)) for i in range(900) for j in np.argsort(-s[i], kind="stable")[:5]}
+    before = shuffled(spark)
+    got = similarity.nearest(df, 5, 20)
+    assert {(r["i"], r["j"]) for r in got.collect()} == want
+    # 45 blocks in 8 parts or a few more: not every vector with each block that it may have a neighbour in.
+    assert shuffled(spark) - before < 20 * x.nbytes
+    once = shuffled(spark)
+    got.count(), got.count()
+    assert shuffled(spark) - once < 1000  # nothing is done again for each use
+
+
+def test_nearest_passes_by_what_has_no_product(spark):
+    x = np.random.default_rng(9).normal(size=(50, 4))
+    x[7, 0], x[9, 1], x[11] = np.nan, np.inf, 1e200
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i long, vec array<double>")
+    with np.errstate(all="ignore"):
+        s = np.round(np.einsum("id,jd->ij", x, x), 12)
+    s[~np.isfinite(s)] = -np.inf
+    np.fill_diagonal(s, -np.inf)
+    want = {(i, int(j)) for i in range(50) for j in np.argsort(-s[i], kind="stable")[:3] if s[i, j] > -np.inf}
+    assert {(r["i"], r["j"]) for r in similarity.nearest(df, 3, 12).collect()} == want
