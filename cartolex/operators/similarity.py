@@ -243,7 +243,8 @@ def duplicate_pairs(nodes: DataFrame, k: int, threshold: float, least_ratio: flo
     near = nearest(own.select("i", "vec"), k).where((F.col("similarity") >= threshold) & (F.col("j") > F.col("i")))
     a = own.select("i", F.col("id").alias("master_id"), F.col("text").alias("a"))
     b = own.select(F.col("i").alias("j"), F.col("id").alias("duplicate_id"), F.col("text").alias("b"))
-    return near.join(a, "i").join(b, "j").where(C.length_ratio(F.col("a"), F.col("b")) >= least_ratio).select("master_id", "duplicate_id", "similarity")
+    pairs = near.join(a, "i").join(b, "j").where(C.length_ratio(F.col("a"), F.col("b")) >= least_ratio).select("master_id", "duplicate_id", "similarity")
+    return scratch.settle(pairs, "pairs")
 
 
 def duplicate_map(pairs: DataFrame) -> DataFrame:
@@ -251,7 +252,7 @@ def duplicate_map(pairs: DataFrame) -> DataFrame:
     ids = pairs.select(F.explode(F.array("master_id", "duplicate_id")).alias("id")).distinct()
     roots = fixpoint.connected_components(ids, pairs.select(F.col("master_id").alias("source"), F.col("duplicate_id").alias("target")))
     later = pairs.select(F.col("duplicate_id").alias("id"), F.lit(True).alias("later")).distinct()
-    marked = roots.join(later, "id", "left")
+    marked = scratch.settle(roots.join(later, "id", "left"), "marked")
     master = marked.groupBy("root").agg(F.coalesce(F.min(F.when(F.col("later").isNull(), F.col("id"))), F.min("id")).alias("master_id"))
     return marked.join(master, "root").where("id <> master_id").select(F.col("id").alias("duplicate_id"), "master_id")
 
@@ -282,12 +283,13 @@ def rewrite_stats(nodes: DataFrame, edges: DataFrame, new_nodes: DataFrame, new_
     return out
 
 
-def candidates(nodes: DataFrame, edges: DataFrame, k: int, threshold: float, forward: bool = True) -> DataFrame:
+def candidates(nodes: DataFrame, edges: DataFrame, k: int, threshold: float, forward: bool = True, near: DataFrame | None = None) -> DataFrame:
     """source_id, target_id, similarity, existing_edges: of each node's k + 1 nearest (itself included), those alike enough
-    that lie after it (before it if not forward), k at most. nodes: id, vec."""
-    own = numbered(nodes)
+    that lie after it (before it if not forward), k at most. nodes: id, vec, or numbered() if near, what nearest() found
+    of them, is there already."""
+    own = numbered(nodes) if near is None else nodes
     ahead = F.col("target_position") > F.col("position") if forward else F.col("target_position") < F.col("position")
-    near = nearest(own.select("i", "vec"), k).where(F.col("similarity") >= threshold)
+    near = (nearest(own.select("i", "vec"), k) if near is None else near).where(F.col("similarity") >= threshold)
     a = own.select("i", F.col("id").alias("source_id"), "position")
     b = own.select(F.col("i").alias("j"), F.col("id").alias("target_id"), F.col("position").alias("target_position"))
     pairs = near.join(a, "i").join(b, "j").where(ahead).select("source_id", "target_id", "similarity")

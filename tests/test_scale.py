@@ -59,3 +59,20 @@ def test_nearest_passes_by_what_has_no_product(spark):
     np.fill_diagonal(s, -np.inf)
     want = {(i, int(j)) for i in range(50) for j in np.argsort(-s[i], kind="stable")[:3] if s[i, j] > -np.inf}
     assert {(r["i"], r["j"]) for r in similarity.nearest(df, 3, 12).collect()} == want
+
+
+def test_pairs_are_found_once(spark, monkeypatch):
+    x = np.random.default_rng(4).normal(size=(60, 4)).tolist()
+    nodes = spark.createDataFrame([(f"e:c:{k}", "x" * (k % 7 + 3), v) for k, v in enumerate(x)], "id string, text string, vec array<double>")
+    calls = []
+    found = similarity.nearest
+    monkeypatch.setattr(similarity, "nearest", lambda *a: calls.append(a) or found(*a))
+    pairs = similarity.duplicate_pairs(nodes, 3, 0.3, 0.5)
+    once = shuffled(spark)
+    assert pairs.count() and pairs.count() and shuffled(spark) - once < 1000
+    own = similarity.numbered(nodes)
+    near = found(own.select("i", "vec"), 3)
+    edges = spark.createDataFrame([], "_ord long, source string, target string, type string, weight double")
+    calls.clear()
+    given, alone = (similarity.candidates(n, edges, 3, 0.3, True, o).select("source_id", "target_id") for n, o in ((own, near), (nodes, None)))
+    assert len(calls) == 1 and sorted(given.collect()) == sorted(alone.collect())
