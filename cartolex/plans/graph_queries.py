@@ -255,14 +255,14 @@ CANDIDATES = f"WITH {VECTORS} SELECT a.id AS source_id, b.id AS target_id, round
 
 
 def candidates(spark, d, forward):
-    v = vectors(spark, d)
-    pairs = similarity.nearest(similarity.numbered(v).select("i", "vec"), 5)
-    n = similarity.numbered(v).select("i", "id", "position")
+    v = similarity.numbered(vectors(spark, d))
+    pairs = similarity.nearest(v.select("i", "vec"), 5)
+    n = v.select("i", "id", "position")
     a, b = n.withColumnsRenamed({"id": "source", "position": "p"}), n.withColumnsRenamed({"i": "j", "id": "target", "position": "q"})
     # An edge in one direction between each pair of neighbours whose ids add up to an even number.
     e = pairs.join(a, "i").join(b, "j").where("(p + q) % 2 = 0").select(F.least("source", "target").alias("source"), F.greatest("source", "target").alias("target")).distinct()
     e = e.select(F.xxhash64("source", "target").alias("_ord"), "source", "target", F.lit("PARALLEL").alias("type"), F.lit(0.5).alias("weight"))
-    return similarity.candidates(v, e, 5, 0.3, forward).select("source_id", "target_id", R("similarity").alias("similarity"), F.size("existing_edges").alias("existing"))
+    return similarity.candidates(v, e, 5, 0.3, forward, pairs).select("source_id", "target_id", R("similarity").alias("similarity"), F.size("existing_edges").alias("existing"))
 
 
 @query("q_candidates_fwd", CANDIDATES.format(op=">"))
