@@ -51,12 +51,29 @@ def shared(df: DataFrame, most: int | None = None) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def _placed(df: DataFrame, *order) -> DataFrame:
+    """df settled in the order given, with __part and __at: a global sort's partitions and places."""
+    placed = settle(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()), "ordered")
+    return placed.withColumn("__part", F.shiftright("__at", 33))
+
+
+def _before(sums: DataFrame) -> DataFrame:
+    """__part, __before: the sum of __rows in the partitions before; one row a partition."""
+    return sums.select("__part", (F.coalesce(F.sum("__rows").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).alias("__before"))
+
+
 def in_order(df: DataFrame, *order) -> DataFrame:
     """df with __n, its rows' numbers from 0 in the order given: a global sort, then each partition's rows after those of
     the partitions before it. One row a partition meets in one task, never the table."""
-    placed = settle(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()), "ordered")
-    part = F.shiftright("__at", 33)
-    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
-    before = sizes.select("__part", (F.coalesce(F.sum("__rows").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).alias("__before"))
-    numbered = placed.withColumn("__part", part).join(F.broadcast(before), "__part")  # one row a partition
+    placed = _placed(df, *order)
+    before = _before(placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows")))
+    numbered = placed.join(F.broadcast(before), "__part")  # one row a partition
     return numbered.withColumn("__n", F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__part", "__before", "__at")
+
+
+def sums_before(df: DataFrame, value: str, *order) -> DataFrame:
+    """df with __n, the sum of a whole-numbered value over the rows before, in the order given; as in in_order()."""
+    placed = _placed(df, *order)
+    before = _before(placed.groupBy("__part").agg(F.sum(value).alias("__rows")))
+    own = F.sum(value).over(W.partitionBy("__part").orderBy("__at").rowsBetween(W.unboundedPreceding, -1))
+    return placed.withColumn("__n", F.coalesce(own, F.lit(0))).join(F.broadcast(before), "__part").withColumn("__n", F.col("__n") + F.col("__before")).drop("__part", "__before", "__at")

@@ -1,11 +1,15 @@
 """What a step sends, holds and repeats may not grow faster than its input."""
 
 import random
+import re
 import time
 
 import numpy as np
 
-from cartolex.operators import build, enrich, similarity
+from pyspark.sql import functions as F
+
+from cartolex import scratch
+from cartolex.operators import build, enrich, similarity, slicing
 
 
 def shuffled(spark) -> int:
@@ -76,3 +80,19 @@ def test_pairs_are_found_once(spark, monkeypatch):
     calls.clear()
     given, alone = (similarity.candidates(n, edges, 3, 0.3, True, o).select("source_id", "target_id") for n, o in ((own, near), (nodes, None)))
     assert len(calls) == 1 and sorted(given.collect()) == sorted(alone.collect())
+
+
+def test_files_are_cut_once_and_numbered_without_one_window(spark):
+    files = spark.createDataFrame([(f"f{k:03d}", "One two. Three four.\n\n" * (k % 5)) for k in range(40)], "source_file string, text string")
+    s = slicing.slice_files(files, 8, True, 3)
+    rows = s.orderBy("order").collect()
+    assert [r["order"] for r in rows] == list(range(1, len(rows) + 1)) and [r["source_file"] for r in rows] == sorted(r["source_file"] for r in rows)
+    assert {k: "".join(r["text"] for r in rows if r["source_file"] == f"f{k:03d}") for k in range(40)} == {k: "One two. Three four.\n\n" * (k % 5) for k in range(40)}
+    plan = s._jdf.queryExecution().toString()
+    assert "MapIn" not in plan and not re.search(r"Window .*windowspecdefinition\(source_file", plan)
+
+
+def test_sums_before(spark):
+    df = spark.createDataFrame([(k, k * 7 % 11) for k in range(200)], "k long, v long").repartition(7)
+    got = {r["k"]: r["__n"] for r in scratch.sums_before(df, "v", F.desc("k")).collect()}
+    assert got == {k: sum(j * 7 % 11 for j in range(k + 1, 200)) for k in range(200)}
