@@ -8,7 +8,7 @@ from .. import schema as S
 from ..functions import columns as C
 from ..graph import collapse_edges
 from ..operators import centrality, enrich, quality, refine, relational, similarity
-from .fixtures import CONCEPTS_SQL, TRADE_SQL, concepts, table, trade
+from .fixtures import CONCEPTS_SQL, TRADE_SQL, concepts, nations, table, trade
 from .registry import query
 
 T = f"WITH {TRADE_SQL}"
@@ -43,7 +43,7 @@ def q_sanitised_weights(spark, d):
 def q_safe_metric(spark, d):
     k = F.col("difficulty")
     x = F.when(k == 1, F.lit(float("nan"))).when(k == 2, F.lit(float("-inf"))).when(k == 3, F.lit(None)).otherwise(k.cast("double"))
-    return trade(spark, d).nodes.select("id", C.safe_metric(x).alias("x"))
+    return nations(spark, d).select("id", C.safe_metric(x).alias("x"))
 
 
 @query("q_type_counts", f"{T} SELECT 'node' AS kind, type, count(*) AS n FROM nodes GROUP BY 2 UNION ALL SELECT 'edge', type, count(*) FROM edges GROUP BY 2")
@@ -69,12 +69,12 @@ def q_edu_subgraph_exact(spark, d):
 
 @query("q_dedup_candidates", f"{T} SELECT id FROM (SELECT id, type, definition AS text FROM nodes) WHERE type IN ('Chunk', 'Assessment') AND text IS NOT NULL AND trim(text) <> ''")
 def q_dedup_candidates(spark, d):
-    return relational.dedup_candidates(trade(spark, d).nodes.withColumn("text", F.col("definition"))).select("id")
+    return relational.dedup_candidates(nations(spark, d).withColumn("text", F.col("definition"))).select("id")
 
 
 @query("q_target_nodes", f"{T} SELECT id FROM nodes WHERE type IN ('Chunk', 'Assessment')")
 def q_target_nodes(spark, d):
-    return relational.target_nodes(trade(spark, d).nodes).select("id")
+    return relational.target_nodes(nations(spark, d)).select("id")
 
 
 @query("q_edges_semi", f"{T}, k AS (SELECT id FROM nodes WHERE type <> 'Concept') SELECT source, target, type FROM edges WHERE source IN (SELECT id FROM k) AND target IN (SELECT id FROM k)")
@@ -214,13 +214,13 @@ def q_bridge_ratio(spark, d):
 
 @query("q_cluster_sizes", f"{T} SELECT cluster_id, count(*) AS n FROM nodes GROUP BY 1")
 def q_cluster_sizes(spark, d):
-    return quality.cluster_sizes(trade(spark, d).nodes)
+    return quality.cluster_sizes(nations(spark, d))
 
 
 @query("q_distinct_clusters", f"{T} SELECT DISTINCT node_offset % 7 AS cluster_id FROM nodes WHERE node_offset % 7 <> 3")
 def q_distinct_clusters(spark, d):
     k = F.col("node_offset") % 7
-    return quality.distinct_clusters(trade(spark, d).nodes.withColumn("cluster_id", F.when(k != 3, k)))
+    return quality.distinct_clusters(nations(spark, d).withColumn("cluster_id", F.when(k != 3, k)))
 
 
 @query("q_cluster_statistics", f"{T}, {WEIGHED}, b AS (SELECT id, CASE WHEN node_offset % 7 <> 3 THEN cluster_id END AS k, pagerank / (SELECT max(pagerank) FROM weighed) AS s FROM weighed) SELECT (SELECT count(DISTINCT k) FROM b) AS clusters, (SELECT count(*) FROM b WHERE s > 0.7) AS bridge_nodes, (SELECT count(*) FROM edges e JOIN b x ON x.id = e.source JOIN b y ON y.id = e.target WHERE x.k <> y.k) AS inter_cluster_edges")
@@ -233,7 +233,7 @@ def q_cluster_statistics(spark, d):
 
 @query("q_singletons", f"{T} SELECT k AS cluster_id, count(*) AS n FROM (SELECT node_offset // 2 + difficulty AS k FROM nodes) GROUP BY 1 HAVING count(*) = 1")
 def q_singletons(spark, d):
-    n = trade(spark, d).nodes.select((F.floor(F.col("node_offset") / 2) + F.col("difficulty")).alias("cluster_id"))
+    n = nations(spark, d).select((F.floor(F.col("node_offset") / 2) + F.col("difficulty")).alias("cluster_id"))
     return quality.cluster_sizes(n).where("n = 1")
 
 
@@ -278,12 +278,12 @@ def q_top5(spark, d):
 
 @query("q_course_sequence", f"{T} SELECT row_number() OVER (ORDER BY node_offset)::INTEGER AS seq, id, node_offset AS position, cluster_id FROM nodes WHERE type = 'Chunk'")
 def q_course_sequence(spark, d):
-    return relational.course_sequence(trade(spark, d).nodes)
+    return relational.course_sequence(nations(spark, d))
 
 
 @query("q_node_order", f"{T} SELECT row_number() OVER (ORDER BY type <> 'Concept', CASE WHEN type = 'Concept' THEN id END, _ord)::INTEGER AS place, id FROM nodes")
 def q_node_order(spark, d):
-    return relational.ordered_nodes(trade(spark, d).nodes).select("place", "id")
+    return relational.ordered_nodes(nations(spark, d)).select("place", "id")
 
 
 @query("q_showcase_path", f"""{T}, {WEIGHED}, b AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY pagerank DESC, _ord) AS r, min(_ord) OVER (PARTITION BY cluster_id) AS f FROM weighed)
@@ -296,12 +296,12 @@ def q_showcase_path(spark, d):
 def q_position(spark, d):
     k = F.col("node_offset")
     i = F.when(k % 4 == 0, F.concat(F.lit("s:q:"), k, F.lit(":1"))).when(k % 4 == 1, F.lit("s:p:name")).when(k % 4 == 2, F.lit("s:c:x")).otherwise(F.col("id"))
-    return trade(spark, d).nodes.select(i.alias("id")).withColumn("position", C.position(F.col("id")))
+    return nations(spark, d).select(i.alias("id")).withColumn("position", C.position(F.col("id")))
 
 
 @query("q_mark_definitions", f"{T} SELECT id, CASE WHEN type IN ('Chunk', 'Assessment') AND trim(definition) <> '' AND NOT starts_with(definition, '[added_by=LLM]') THEN '[added_by=LLM] ' || definition ELSE definition END AS definition FROM nodes")
 def q_mark_definitions(spark, d):
-    return trade(spark, d).nodes.select("id", C.marked_definition(F.col("type"), F.col("definition")).alias("definition"))
+    return nations(spark, d).select("id", C.marked_definition(F.col("type"), F.col("definition")).alias("definition"))
 
 
 @query("q_mark_conditions", f"{T} SELECT source, target, CASE WHEN trim(conditions) <> '' AND NOT contains(conditions, 'added_by=') AND NOT contains(conditions, 'fixed_by=') AND NOT contains(conditions, 'auto_generated') THEN '[added_by=LLM] ' || conditions ELSE conditions END AS conditions FROM edges")
@@ -319,7 +319,7 @@ def q_fix_stats(spark, d):
 
 @query("q_search", f"{T} SELECT id FROM nodes WHERE type IN ('Chunk', 'Concept') AND (contains(lower(id), 'an') OR contains(lower(text), 'an') OR coalesce(contains(lower(definition), 'an'), false))")
 def q_search(spark, d):
-    return relational.search(trade(spark, d).nodes, "AN", ("Chunk", "Concept")).select("id")
+    return relational.search(nations(spark, d), "AN", ("Chunk", "Concept")).select("id")
 
 
 @query("q_edge_tier", f"{T} SELECT source, target, CASE WHEN type IN ('PREREQUISITE', 'TESTS') THEN 'strong' WHEN type IN ('HINT_FORWARD', 'REFER_BACK', 'MENTIONS') THEN 'weak' ELSE 'medium' END AS tier FROM edges")
@@ -415,7 +415,7 @@ def q_status(spark, d):
 @query("q_golden_compare", f"""{T}, {WEIGHED}, c AS (SELECT id, difficulty::DOUBLE AS e, CASE WHEN node_offset % 5 = 0 THEN NULL WHEN node_offset % 3 = 0 THEN difficulty * 1.005 ELSE difficulty * 1.5 END AS a FROM nodes)
 SELECT 't' AS graph, id, 'difficulty' AS metric, CASE WHEN a IS NULL THEN 'missing' WHEN abs(a - e) <= 0.01 * abs(e) THEN 'pass' ELSE 'fail' END AS status FROM c""")
 def q_golden_compare(spark, d):
-    n = trade(spark, d).nodes
+    n = nations(spark, d)
     k, v = F.col("node_offset"), F.col("difficulty").cast("double")
     a = n.select(F.lit("t").alias("graph"), "id", F.when(k % 5 == 0, None).when(k % 3 == 0, v * 1.005).otherwise(v * 1.5).alias("difficulty"))
     return quality.compare(a, n.select(F.lit("t").alias("graph"), "id", v.alias("difficulty")), ["difficulty"]).select("graph", "id", "metric", "status")
@@ -423,7 +423,7 @@ def q_golden_compare(spark, d):
 
 @query("q_validation_matrix", f"{T}, c AS (SELECT type, node_offset % 3 = 0 AS ok FROM nodes) SELECT type AS graph, round(avg(ok::INTEGER), 6) AS difficulty FROM c GROUP BY 1")
 def q_validation_matrix(spark, d):
-    n = trade(spark, d).nodes
+    n = nations(spark, d)
     v = F.col("difficulty").cast("double")
     a = n.select(F.col("type").alias("graph"), "id", F.when(F.col("node_offset") % 3 == 0, v).otherwise(v * 2).alias("difficulty"))
     m = quality.validation_matrix(quality.compare(a, n.select(F.col("type").alias("graph"), "id", v.alias("difficulty")), ["difficulty"]), ["difficulty"])

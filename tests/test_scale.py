@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cartolex import scratch
 from cartolex.operators import build, enrich, similarity, slicing
+from cartolex.plans import fixtures
 
 
 def shuffled(spark) -> int:
@@ -96,3 +97,17 @@ def test_sums_before(spark):
     df = spark.createDataFrame([(k, k * 7 % 11) for k in range(200)], "k long, v long").repartition(7)
     got = {r["k"]: r["__n"] for r in scratch.sums_before(df, "v", F.desc("k")).collect()}
     assert got == {k: sum(j * 7 % 11 for j in range(k + 1, 200)) for k in range(200)}
+
+
+def test_trade_tables_are_joined_once_and_answers_parsed_once(spark):
+    edges = fixtures.trade(spark, "/root/testdata/sf0.001").edges
+    assert "l_orderkey" not in edges._jdf.queryExecution().optimizedPlan().toString()
+    patch = '{"chunk_graph_patch": {"nodes": [{"id": "chunk_1", "type": "Chunk", "text": "a tree", "node_offset": 3}], "edges": []}}'
+    responses = spark.createDataFrame([(1, "slice_001", patch)], "slice_order int, slice_id string, response string")
+    slices = spark.createDataFrame([("slice_001", "s", 10)], "id string, slug string, slice_token_start int")
+    d = spark.createDataFrame([("t", ("Tree", ["trees"]), "")], "concept_id string, term struct<primary: string, aliases: array<string>>, definition string")
+    nodes, links = build.merge_patches(responses, slices, d)
+    for df in (nodes, links):
+        assert "from_json" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert nodes.collect() == build.merged_nodes(responses, slices, d).collect()
+    assert [(r["source"], r["target"]) for r in links.collect()] == [("s:c:13", "t")]
