@@ -52,22 +52,36 @@ def connected_components(nodes: DataFrame, edges: DataFrame, small: bool | None
         rows = nodes.select(F.col("id").alias("a"), F.col("id").alias("b")).unionByName(edges.select(F.col("source").alias("a"), F.col("target").alias("b")).where("a IS NOT NULL AND b IS NOT NULL"))
         found = rows.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(_least_roots, "id string, root string")
         return found.join(nodes.select("id").distinct(), "id", "left_semi")
-    labels = scratch.settle(nodes.select("id", F.col("id").alias("root")).distinct(), "labels")
-    both = scratch.settle(edges.where("source <> target").select(F.col("source").alias("a"), F.col("target").alias("b")).unionByName(edges.where("source <> target").select(F.col("target").alias("a"), F.col("source").alias("b"))).distinct(), "links")
+    named = scratch.in_order(nodes.select("id").distinct(), "id").select("id", F.col("__n").alias("n"))
+    labels = named.select("n", F.col("n").alias("root"))
+    # Numbers in the order of the ids stand for them, and only links between different roots go on.
+    links = edges.where("source <> target").select("source", "target")
+    for end, to in (("source", "a"), ("target", "b")):
+        links = links.join(named.select(F.col("id").alias(end), F.col("n").alias(to)), end).drop(end)
+    links = scratch.settle(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     while True:
-        a, b = labels.select(F.col("id").alias("a"), F.col("root").alias("ra")), labels.select(F.col("id").alias("b"), F.col("root").alias("rb"))
-        least = both.join(a, "a").join(b, "b").where("rb < ra").groupBy(F.col("ra").alias("root")).agg(F.min("rb").alias("to"))
-        least = scratch.settle(least, "hooks")
+        # Of a link's two roots only the greater can hook on.
+        least = scratch.settle(links.groupBy(F.col("b").alias("root")).agg(F.min("a").alias("to")), "hooks")
         if least.isEmpty():
-            return labels
+            break
         # A hook's target may have hooked on as well: follow the chain until it ends.
         while True:
             onward = least.select(F.col("root").alias("to"), F.col("to").alias("further"))
             jumped = scratch.settle(least.join(onward, "to", "left").select("root", F.coalesce("further", "to").alias("to"), F.col("further").isNotNull().alias("moved")), "hooks")
-            least = jumped.select("root", "to")
-            if jumped.where("moved").isEmpty():
+            scratch.drop(least)
+            least, moved = jumped.select("root", "to"), not jumped.where("moved").isEmpty()
+            least._cartolex_path = jumped._cartolex_path
+            if not moved:
                 break
-        labels = scratch.settle(labels.join(least, "root", "left").select("id", F.coalesce("to", "root").alias("root")), "labels")
+        new = scratch.settle(labels.join(least, "root", "left").select("n", F.coalesce("to", "root").alias("root")), "labels")
+        scratch.drop(labels)
+        labels, old = new, links
+        for end in ("a", "b"):
+            links = links.join(least.select(F.col("root").alias(end), F.col("to").alias("__to")), end, "left").withColumn(end, F.coalesce("__to", end)).drop("__to")
+        links = scratch.settle(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+        scratch.drop(old, least)
+    out = labels.join(named, "n").select("id", "root").join(named.select(F.col("n").alias("root"), F.col("id").alias("name")), "root").select("id", F.col("name").alias("root"))
+    return scratch.settle(out, "roots")
 
 
 def component_ids(nodes: DataFrame, edges: DataFrame) -> DataFrame:

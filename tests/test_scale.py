@@ -5,11 +5,15 @@ import re
 import time
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pytest
 
 from pyspark.sql import functions as F
 
 from cartolex import scratch
-from cartolex.operators import build, enrich, similarity, slicing
+from cartolex.graph import PropertyGraph
+from cartolex.operators import build, centrality, enrich, fixpoint, similarity, slicing
 from cartolex.plans import fixtures
 
 
@@ -111,3 +115,38 @@ def test_trade_tables_are_joined_once_and_answers_parsed_once(spark):
         assert "from_json" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert nodes.collect() == build.merged_nodes(responses, slices, d).collect()
     assert [(r["source"], r["target"]) for r in links.collect()] == [("s:c:13", "t")]
+
+
+def test_components_go_by_numbers(spark):
+    rng = random.Random(6)
+    ids = [rng.randbytes(60).hex() for _ in range(3000)]
+    way = rng.sample(ids, 2500)  # a path as long as that, and single nodes
+    g = PropertyGraph.of(spark, [(v, "Chunk", 1) for v in ids], [(a, b, "PREREQUISITE", 1.0) for a, b in zip(way, way[1:], strict=False)])
+    nodes, edges = (scratch.settle(t) for t in (g.nodes, g.edges))
+    before = shuffled(spark)
+    found = fixpoint.connected_components(nodes, edges, small=False)
+    assert {r["id"]: r["root"] for r in found.collect()} == {v: v for v in ids} | dict.fromkeys(way, min(way))
+    sent = shuffled(spark) - before
+    assert sent < 1_800_000, sent
+
+
+def test_depths_of_small_components_take_no_rounds(spark, monkeypatch):
+    rng = random.Random(7)
+    nodes = [(f"k{c}:{k}", "Chunk", rng.choice([None, 1, 4])) for c in range(40) for k in range(9)]
+    edges = [(f"k{c}:{rng.randrange(9)}", f"k{c}:{rng.randrange(9)}", "Prerequisite", 1.0) for c in range(40) for _ in range(10)] + [("k1:1", "none", "PREREQUISITE", 1.0)]
+    g = PropertyGraph.of(spark, nodes, edges)
+    key = lambda df: {tuple(r) for r in df.select("id", "prerequisite_depth", "learning_effort").collect()}
+    want = key(centrality.prerequisite_metrics(g.nodes, g.collapsed(), small=True))
+    rounds = fixpoint.longest_levels
+    monkeypatch.setattr(fixpoint, "longest_levels", lambda *a: pytest.fail("rounds"))
+    assert key(centrality.prerequisite_metrics(g.nodes, g.collapsed(), small=False)) == want
+    # Components of more rows than a task takes still go by rounds.
+    monkeypatch.setattr(fixpoint, "longest_levels", rounds)
+    monkeypatch.setattr(fixpoint, "SMALL", 17)
+    assert key(centrality.prerequisite_metrics(g.nodes, g.collapsed(), small=False)) == want
+
+
+def test_embeddings_of_a_batch_lie_in_one_array():
+    texts = ["Ein Text", None, "", "ab", "Деревья и графы"]
+    want = next(iter(similarity.embed_hashed(iter([pd.Series(texts)])))).tolist()
+    assert similarity.embedded(pa.array(texts)).to_pylist() == want
