@@ -192,14 +192,32 @@ def prerequisite_metrics(nodes: DataFrame, edges: DataFrame, small: bool | None
     """id, prerequisite_depth, learning_effort over PREREQUISITE edges (any case), with components as units."""
     own = nodes.select("_ord", "id", F.coalesce("difficulty", F.lit(S.DIFFICULTY)).alias("difficulty"))
     chain = edges.where(F.upper("type") == "PREREQUISITE")
-    if fixpoint.is_small(own, chain) if small is None else small:
 
-        def kernel(g: pd.DataFrame) -> pd.DataFrame:
-            ids, links, difficulty = _split(g)
-            found = kernels.prerequisites(ids, [(s, t) for s, t, _ in links], difficulty)
-            return pd.DataFrame({"id": ids, "prerequisite_depth": [found[v][0] for v in ids], "learning_effort": [found[v][1] for v in ids]})
+    def kernel(g: pd.DataFrame) -> pd.DataFrame:
+        ids, links, difficulty = _split(g)
+        found = kernels.prerequisites(ids, [(s, t) for s, t, _ in links], difficulty)
+        return pd.DataFrame({"id": ids, "prerequisite_depth": [found[v][0] for v in ids], "learning_effort": [found[v][1] for v in ids]})
 
-        return _gathered(own, chain).groupBy("one").applyInPandas(kernel, "id string, prerequisite_depth int, learning_effort double")
+    made = "id string, prerequisite_depth int, learning_effort double"
+    if fixpoint.is_small(own, chain) if small is None else small:
+        return _gathered(own, chain).groupBy("one").applyInPandas(kernel, made)
+    # Unconnected parts don't touch each other: those of bounded size go to tasks, many at a time.
+    own = scratch.settle(own, "own")
+    chain = scratch.settle(endpoints_in(chain, own), "chain")
+    roots = fixpoint.connected_components(own, chain, False).withColumnRenamed("id", "source")
+    rows = scratch.settle(_gathered(own, chain).drop("one").join(roots, "source"), "rows")
+    large = scratch.settle(rows.groupBy("root").count().where(F.col("count") > fixpoint.SMALL).select("root"), "large")
+    groups = max(1, -(-rows.count() // fixpoint.SMALL))
+    out = rows.join(large, "root", "left_anti").withColumn("one", F.pmod(F.xxhash64("root"), F.lit(groups))).groupBy("one").applyInPandas(kernel, made)
+    if large.isEmpty():
+        return scratch.settle(out, "depths")
+    rest = roots.join(large, "root", "left_semi")
+    own, chain = own.join(rest.select(F.col("source").alias("id")), "id", "left_semi"), chain.join(rest, "source", "left_semi")
+    return scratch.settle(out.unionByName(_prerequisites_by_rounds(own, chain)), "depths")
+
+
+def _prerequisites_by_rounds(own: DataFrame, chain: DataFrame) -> DataFrame:
+    """prerequisite_metrics() by joins, for components of more than a task's memory."""
     scc = scratch.settle(fixpoint.strong_components(own, chain), "scc")
     sums = own.join(scc, "id").groupBy(F.col("scc").alias("id")).agg(F.sum("difficulty").alias("difficulty"))
     name = lambda end: scc.select(F.col("id").alias(end), F.col("scc").alias(end + "_scc"))
