@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -299,18 +300,27 @@ def candidates(nodes: DataFrame, edges: DataFrame, k: int, threshold: float, for
     return out.select("source_id", "target_id", "similarity", F.coalesce(forwards(F.col("edges")), F.array().cast("array<struct<source:string,target:string,type:string,weight:double>>")).alias("existing_edges"))
 
 
-def embed_hashed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """A stand-in for an embedding service: counts of hashed character trigrams, scaled to length 1; blank texts are zero."""
+def _hashed(t: str | None) -> np.ndarray:
     import zlib
 
+    v = np.zeros(DIM)
+    t = (t or "").lower().strip()
+    for k in range(max(0, len(t) - 2)):
+        h = zlib.crc32(t[k : k + 3].encode())
+        v[h % DIM] += 1 if h >> 31 else -1
+    size = np.sqrt(v @ v)
+    return (v / size if size else v).astype(np.float32)
+
+
+def embed_hashed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """A stand-in for an embedding service: counts of hashed character trigrams, scaled to length 1; blank texts are zero."""
     for batch in texts:
-        out = []
-        for t in batch:
-            v = np.zeros(DIM)
-            t = (t or "").lower().strip()
-            for k in range(max(0, len(t) - 2)):
-                h = zlib.crc32(t[k : k + 3].encode())
-                v[h % DIM] += 1 if h >> 31 else -1
-            size = np.sqrt(v @ v)
-            out.append((v / size if size else v).astype(np.float32).tolist())
-        yield pd.Series(out)
+        yield pd.Series([_hashed(t).tolist() for t in batch])
+
+
+def embedded(texts: pa.Array) -> pa.Array:
+    """embed_hashed() of a batch, whose numbers lie in one array of single precision."""
+    out = np.zeros((len(texts), DIM), np.float32)
+    for k, t in enumerate(texts):
+        out[k] = _hashed(t.as_py())
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * DIM), pa.array(out.ravel()))
